@@ -15,8 +15,8 @@ from nightgrid.operators import grid
 from nightgrid.plans.phases import add_species, assign_nights
 
 CONFIG = StudyConfig(
-    start_date="2024-01-01",
-    end_date="2024-01-30",
+    start_date="2023-12-31",
+    end_date="2024-01-29",
     filters=DataFilters(remove_duplicates=True, remove_noid=True, remove_zero_pulse=True),
 )
 
@@ -69,7 +69,7 @@ def fixture_hours() -> Column:
 def plain_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detector x night with counts and hours."""
     counts = grid.calls_per_night(master(spark, sf_dir))
-    full = grid.attach_counts(grid.grid_from_counts(counts), counts)
+    full = grid.fill_nights(counts, {"CallsPerNight": 0}, CONFIG.start_date, CONFIG.end_date)
     return full.withColumn("RecordingHours", fixture_hours())
 
 
@@ -185,8 +185,7 @@ master AS (SELECT * FROM allsp WHERE species <> 'NoID')"""
 _GRID = """,
 counts AS (SELECT Detector, Night, COUNT(*) AS CallsPerNight FROM master GROUP BY ALL),
 nights AS (
-  SELECT CAST(unnest(generate_series(MIN(Night), MAX(Night), INTERVAL 1 DAY)) AS DATE) AS Night
-  FROM master),
+  SELECT CAST(unnest(generate_series(DATE '2023-12-31', DATE '2024-01-29', INTERVAL 1 DAY)) AS DATE) AS Night),
 spine AS (SELECT Detector, Night FROM (SELECT DISTINCT Detector FROM counts) d, nights),
 plain AS (
   SELECT s.Detector, s.Night, COALESCE(c.CallsPerNight, 0) AS CallsPerNight,

@@ -95,7 +95,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     found = grid.classify_status(sparse_grid(spark, sf_dir), CONFIG.intended_hours)
-    expected = grid.grid_from_counts(found)
+    expected = grid.detector_nights(found, CONFIG.start_date, CONFIG.end_date)
     return profile.temporal_completeness(expected, found, CONFIG.intended_hours)
 
 

@@ -11,6 +11,10 @@ from nightgrid.catalog.registry import query
 from nightgrid.config import Schedule
 from nightgrid.operators import chart_detector, edits, grid, mapping
 
+def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid.detector_nights(master(spark, sf_dir), CONFIG.start_date, CONFIG.end_date)
+
+
 _HALF = Schedule(start="18:30:00", end="07:15:00")
 
 
@@ -69,13 +73,13 @@ def _(spark, sf_dir):
 
 @query("grid_cross_join", on_grid("SELECT Detector, Night FROM spine"))
 def _(spark, sf_dir):
-    return grid.grid_from_counts(grid.calls_per_night(master(spark, sf_dir)))
+    return _spine(spark, sf_dir)
 
 
 @query("attach_counts", on_grid("SELECT Detector, Night, CallsPerNight FROM plain"))
 def _(spark, sf_dir):
     counts = grid.calls_per_night(master(spark, sf_dir))
-    return grid.attach_counts(grid.grid_from_counts(counts), counts)
+    return grid.attach_counts(_spine(spark, sf_dir), counts)
 
 
 @query(
@@ -84,7 +88,7 @@ def _(spark, sf_dir):
     SELECT s.Detector, s.Night, h.StartTime, h.EndTime FROM spine s LEFT JOIN sched h ON h.Detector = s.Detector"""),
 )
 def _(spark, sf_dir):
-    spine = grid.grid_from_counts(grid.calls_per_night(master(spark, sf_dir)))
+    spine = _spine(spark, sf_dir)
     return grid.attach_schedule(spine, per_detector=schedules(spark, sf_dir))
 
 
@@ -98,7 +102,7 @@ def _(spark, sf_dir):
              CAST(substr(EndTime, 1, 2) AS INTEGER) * 3600 AS e FROM sched) h ON h.Detector = s.Detector"""),
 )
 def _(spark, sf_dir):
-    spine = grid.grid_from_counts(grid.calls_per_night(master(spark, sf_dir)))
+    spine = _spine(spark, sf_dir)
     planned = grid.attach_schedule(spine, per_detector=schedules(spark, sf_dir))
     return grid.scheduled_hours(planned).select("Detector", "Night", "RecordingHours")
 
@@ -244,15 +248,16 @@ def _(spark, sf_dir):
 
 @query(
     "pairwise_correlation",
-    on_grid("""SELECT a.Detector AS Detector1, b.Detector AS Detector2,
-      CAST(COUNT(c.Night) AS INTEGER) AS n_nights FROM
-      (SELECT Detector FROM sparse GROUP BY 1 HAVING stddev_samp(CallsPerNight) > 0) a
-      JOIN (SELECT Detector FROM sparse GROUP BY 1 HAVING stddev_samp(CallsPerNight) > 0) b ON a.Detector < b.Detector
-      LEFT JOIN (SELECT x.Detector AS d1, y.Detector AS d2, x.Night FROM sparse x JOIN sparse y ON x.Night = y.Night) c
-      ON c.d1 = a.Detector AND c.d2 = b.Detector GROUP BY 1, 2"""),
+    on_grid(f""", good AS (SELECT Detector FROM sparse GROUP BY 1 HAVING stddev_samp(CallsPerNight) > 0),
+      c AS (SELECT x.Detector AS d1, y.Detector AS d2, COUNT(*) AS n,
+        CASE WHEN MIN(x.CallsPerNight) < MAX(x.CallsPerNight) AND MIN(y.CallsPerNight) < MAX(y.CallsPerNight)
+          THEN corr(x.CallsPerNight, y.CallsPerNight) END AS r
+        FROM sparse x JOIN sparse y ON x.Night = y.Night AND x.Detector < y.Detector GROUP BY ALL)
+      SELECT a.Detector AS Detector1, b.Detector AS Detector2, COALESCE(c.n, 0) AS n_nights, {rr('c.r')} AS Correlation
+      FROM good a JOIN good b ON a.Detector < b.Detector LEFT JOIN c ON c.d1 = a.Detector AND c.d2 = b.Detector"""),
 )
 def _(spark, sf_dir):
-    return chart_detector.pairwise_nights(sparse_grid(spark, sf_dir))
+    return rounded(chart_detector.pair_statistics(sparse_grid(spark, sf_dir)), "Correlation")
 
 
 @query(

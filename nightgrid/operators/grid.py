@@ -6,7 +6,10 @@ bounded by the length of the study and never by the number of detections.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightgrid import constants as K
 from nightgrid.config import Schedule
@@ -20,39 +23,66 @@ def calls_per_night(master: DataFrame) -> DataFrame:
 
 
 def night_span(df: DataFrame) -> tuple[Column, Column]:
-    """First and last night as scalar subqueries."""
-    return (
-        df.agg(F.min("Night")).scalar(),
-        df.agg(F.max("Night")).scalar(),
-    )
-
-
-def detector_nights(detectors: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Every detector with every night from first to last.
+    """First and last night, both from one scalar subquery."""
+    span = df.agg(F.struct(F.min("Night").alias("first"), F.max("Night").alias("last"))).scalar()
+    return span["first"], span["last"]
+
+
+def _bounds(
+    df: DataFrame, start_date: str | None, end_date: str | None
+) -> tuple[Column, Column]:
+    """The study dates as literals; a missing one is looked up in the data."""
+    first = last = None
+    if start_date is None or end_date is None:
+        first, last = night_span(df)
+    if start_date is not None:
+        first = F.lit(start_date).cast("date")
+    if end_date is not None:
+        last = F.lit(end_date).cast("date")
+    return first, last
+
+
+def detector_nights(
+    rows: DataFrame, start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
+    """Every detector in ``rows`` with every night from first to last.
 
-    Each detector row unfolds its own nights: no join, and the expansion is bounded
-    by the calendar.
+    Each detector unfolds its own nights: no join, and the expansion is bounded by
+    the calendar.  NULL detectors are left out.
     """
-    nights = F.explode(F.sequence(first, last))
-    return detectors.select("Detector", nights.alias("Night"))
+    first, last = _bounds(rows, start_date, end_date)
+    detectors = rows.select("Detector").where(F.col("Detector").isNotNull()).distinct()
+    return detectors.select("Detector", F.explode(F.sequence(first, last)).alias("Night"))
 
 
-def _date_literal(value: str) -> Column:
-    return F.lit(value).cast("date")
-
-
-def grid_from_counts(
-    counts: DataFrame, start_date: str | None = None, end_date: str | None = None
+def fill_nights(
+    rows: DataFrame,
+    fill: Mapping[str, Any],
+    start_date: str | None = None,
+    end_date: str | None = None,
 ) -> DataFrame:
-    """All detectors of ``counts`` x all nights, without counts.
+    """Insert the missing nights of every detector, with the given fill values.
 
-    NULL detectors are left out.  Without dates the span of the counts is used.
+    ``rows`` has one row per detector and night.  Each row unfolds the gap up to the
+    detector's next night, so the dense grid needs neither a join nor a second look
+    at the input.  Nights outside the dates are dropped, their detectors are not.
     """
-    first, last = night_span(counts) if start_date is None or end_date is None else (None, None)
-    first = _date_literal(start_date) if start_date else first
-    last = _date_literal(end_date) if end_date else last
-    detectors = counts.select("Detector").where(F.col("Detector").isNotNull()).distinct()
-    return detector_nights(detectors, first, last)
+    first, last = _bounds(rows, start_date, end_date)
+    nights = Window.partitionBy("Detector").orderBy("Night")
+    found = rows.where(F.col("Detector").isNotNull()).select(
+        *KEYS, *fill, first.alias("_first"), last.alias("_last"),
+        F.lag("Night").over(nights).isNull().alias("_opens"),
+        F.lead("Night").over(nights).alias("_next"),
+    )
+    start = F.when(F.col("_opens"), F.col("_first")).otherwise(F.greatest("Night", "_first"))
+    end = F.least(F.coalesce(F.date_sub("_next", 1), F.col("_last")), F.col("_last"))
+    gaps = found.withColumns({"_start": start, "_end": end}).where(
+        F.col("_start") <= F.col("_end")
+    )
+    unfolded = gaps.withColumn("_night", F.explode(F.sequence("_start", "_end")))
+    own = F.col("_night") == F.col("Night")
+    values = [F.when(own, F.col(c)).otherwise(F.lit(v)).alias(c) for c, v in fill.items()]
+    return unfolded.select("Detector", F.col("_night").alias("Night"), *values)
 
 
 def attach_counts(grid: DataFrame, counts: DataFrame) -> DataFrame:
@@ -96,8 +126,7 @@ def build_template(
     per_detector: DataFrame | None = None,
 ) -> DataFrame:
     """Counts, grid and schedule in one: the table people edit."""
-    counts = calls_per_night(master)
-    grid = attach_counts(grid_from_counts(counts, start_date, end_date), counts)
+    grid = fill_nights(calls_per_night(master), {"CallsPerNight": 0}, start_date, end_date)
     grid = scheduled_hours(attach_schedule(grid, schedule, per_detector))
     return schedule_datetimes(grid).select(
         *KEYS, "CallsPerNight", "StartDateTime", "EndDateTime", "RecordingHours"
@@ -159,15 +188,10 @@ def has_effort() -> Column:
 def complete_grid_coverage(grid: DataFrame, week_start: str = "sunday") -> DataFrame:
     """Every detector and night of the span with a flag "has data", and its week."""
     known = grid.groupBy(*KEYS).agg(F.bool_or(has_effort()).alias("has_data"))
-    spine = grid_from_counts(known)
-    joined = spine.join(known, KEYS, "left")
-    return joined.select(
-        *KEYS,
-        F.coalesce("has_data", F.lit(False)).alias("has_data"),
-        week_floor("Night", week_start).alias("week"),
-    )
+    week = week_floor("Night", week_start).alias("week")
+    return fill_nights(known, {"has_data": False}).select(*KEYS, "has_data", week)
 
 
 def effort_grid(grid: DataFrame) -> DataFrame:
     """Every detector and night of the span with its hours, NULL where no row is."""
-    return grid_from_counts(grid).join(grid.select(*KEYS, "RecordingHours"), KEYS, "left")
+    return fill_nights(grid, {"RecordingHours": None})

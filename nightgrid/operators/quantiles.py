@@ -1,4 +1,4 @@
-"""Exact quantiles of one column of a large table.
+"""Exact quantiles of whole columns of a large table.
 
 ``percentile`` without a group gathers all distinct values in one task.  Here the
 values are counted per value, then per bucket of neighbouring values; only the
@@ -7,7 +7,7 @@ buckets that hold the wanted ranks are sorted, each on its own.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,56 +20,68 @@ def _bucket(value: Column) -> Column:
     return F.when(value < 0, -step).otherwise(step)
 
 
-def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
-    """One row p0, p1, ... with linear interpolation between neighbours (type 7).
+def exact_percentiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
+    """One row with a column <name>_p<i> per column and probability.
 
-    NULL and NaN are left out.
+    Interpolates linearly between neighbours (type 7).  NULL and NaN are left out.
+    All columns go through one scan and one shuffle.
     """
-    value = F.col(column).cast("double")
+    cells = [
+        F.struct(F.lit(name).alias("k"), F.col(name).cast("double").alias("v"))
+        for name in wanted
+    ]
     values = (
-        df.select(value.alias("v"))
+        df.select(F.inline(F.array(*cells)))
         .where(F.col("v").isNotNull() & ~F.isnan("v"))
-        .groupBy("v")
+        .groupBy("k", "v")
         .agg(F.count("*").alias("n"))
         .withColumn("b", _bucket(F.col("v")))
     )
-    buckets = values.groupBy("b").agg(F.sum("n").alias("m"))
-    upto = F.sum("m").over(Window.orderBy("b"))
-    buckets = buckets.select(
-        "b", (upto - F.col("m")).alias("before"), upto.alias("through"),
-        F.sum("m").over(Window.partitionBy()).alias("total"),
+    name = Window.partitionBy("k")
+    upto = F.sum("m").over(name.orderBy("b"))
+    buckets = values.groupBy("k", "b").agg(F.sum("n").alias("m")).select(
+        "k", "b", (upto - F.col("m")).alias("before"), upto.alias("through"),
+        F.sum("m").over(name).alias("total"),
     )
 
     def position(p: float) -> Column:
         return (F.col("total") - 1) * F.lit(float(p))
 
-    ranks = F.array_distinct(
-        F.flatten(F.array(*[F.array(F.floor(position(p)), F.ceil(position(p))) for p in probs]))
-    )
-    buckets = buckets.withColumn(
+    def both_ranks(probs: Sequence[float]) -> Column:
+        return F.array(*[r for p in probs for r in (F.floor(position(p)), F.ceil(position(p)))])
+
+    ranks = F.lit(None).cast("array<bigint>")
+    for column, probs in wanted.items():
+        ranks = F.when(F.col("k") == column, F.array_distinct(both_ranks(probs))).otherwise(ranks)
+    buckets = buckets.withColumn("ranks", ranks).withColumn(
         "ranks",
-        F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("through"))),
+        F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("through"))),
     ).where(F.size("ranks") > 0)
-    inside = values.join(buckets, "b")
-    end = F.col("before") + F.sum("n").over(Window.partitionBy("b").orderBy("v"))
+    inside = values.join(buckets, ["k", "b"])
+    end = F.col("before") + F.sum("n").over(Window.partitionBy("k", "b").orderBy("v"))
     placed = inside.withColumn("end", end).withColumn("start", F.col("end") - F.col("n"))
-    hit = F.filter(
-        F.col("ranks"), lambda r: (r >= F.col("start")) & (r < F.col("end"))
-    )
-    found = placed.select("v", "total", F.explode(hit).alias("rank"))
+    hit = F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("end")))
+    found = placed.select("k", "v", "total", F.explode(hit).alias("rank"))
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(F.col("rank") == rank, F.col("v")))
+    def quantile(column: str, p: float) -> Column:
+        mine = F.col("k") == column
 
-    def quantile(p: float) -> Column:
-        low, high = at(F.floor(position(p))), at(F.ceil(position(p)))
-        weight = (F.max("total") - 1) * F.lit(float(p))
-        weight = weight - F.floor(weight)
-        return low * (1 - weight) + high * weight
+        def at(rank: Column) -> Column:
+            return F.max(F.when(mine & (F.col("rank") == rank), F.col("v")))
 
-    return found.agg(*[quantile(p).alias(f"p{i}") for i, p in enumerate(probs)])
+        exact = (F.max(F.when(mine, F.col("total"))) - 1) * F.lit(float(p))
+        weight = exact - F.floor(exact)
+        return at(F.floor(position(p))) * (1 - weight) + at(F.ceil(position(p))) * weight
+
+    return found.agg(
+        *[
+            quantile(column, p).alias(f"{column}_p{i}")
+            for column, probs in wanted.items()
+            for i, p in enumerate(probs)
+        ]
+    )
 
 
 def exact_median(df: DataFrame, column: str) -> Column:
     """The median as a scalar subquery."""
-    return exact_percentiles(df, column, [0.5]).scalar()
+    return exact_percentiles(df, {column: [0.5]}).scalar()

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from nightgrid import constants as K
 from nightgrid.functions.numbers import as_column, percent, round_nearest
 from nightgrid.operators.contracts import cpn_contract, master_contract, require_columns
-from nightgrid.operators.quantiles import exact_median
+from nightgrid.operators.quantiles import exact_percentiles
 from nightgrid.operators.reshape import share_of_group, share_of_total
 
 
@@ -78,7 +78,8 @@ def study_summary(grid: DataFrame) -> DataFrame:
     """
     cpn_contract(grid, status=True, rate=True)
     calls, rate = F.col("CallsPerNight"), F.col("CallsPerHour")
-    detectors = grid.select("Detector").distinct().agg(F.count("*")).scalar()
+    medians = exact_percentiles(grid, {"CallsPerNight": [0.5], "CallsPerHour": [0.5]})
+    medians = medians.select(F.struct("*").alias("m")).scalar()
 
     def spread(value: Column, suffix: str, digits: int) -> list[Column]:
         pieces = {
@@ -88,6 +89,7 @@ def study_summary(grid: DataFrame) -> DataFrame:
         return [round_nearest(x, digits).alias(f"overall_{k}_{suffix}") for k, x in pieces.items()]
 
     row = grid.agg(
+        F.countDistinct("Detector").alias("n_detectors"),
         F.count("*").alias("n_detector_nights"),
         F.min("Night").alias("study_start"),
         F.max("Night").alias("study_end"),
@@ -97,16 +99,15 @@ def study_summary(grid: DataFrame) -> DataFrame:
         *spread(rate, "cph", 2),
         *[status_share(s).alias(f"pct_{s.lower()}") for s in K.STATUS_LEVELS],
     )
-    return row.select(
-        detectors.alias("n_detectors"),
-        "n_detector_nights", "study_start", "study_end",
+    return row.withColumn("_medians", medians).select(
+        "n_detectors", "n_detector_nights", "study_start", "study_end",
         (F.datediff("study_end", "study_start") + 1).alias("study_duration_days"),
         "total_calls", "total_hours",
         "overall_mean_cpn",
-        round_nearest(exact_median(grid, "CallsPerNight"), 1).alias("overall_median_cpn"),
+        round_nearest("_medians.CallsPerNight_p0", 1).alias("overall_median_cpn"),
         "overall_sd_cpn", "overall_min_cpn", "overall_max_cpn",
         "overall_mean_cph",
-        round_nearest(exact_median(grid, "CallsPerHour"), 2).alias("overall_median_cph"),
+        round_nearest("_medians.CallsPerHour_p0", 2).alias("overall_median_cph"),
         "overall_sd_cph", "overall_min_cph", "overall_max_cph",
         percent("overall_sd_cph", "overall_mean_cph").alias("overall_cv_pct"),
         "pct_success", "pct_partial", "pct_fail",
