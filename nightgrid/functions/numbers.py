@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # From here on a scaled double has no fraction left to round.
 _NO_FRACTION = float(2**52)
@@ -12,24 +14,45 @@ def as_column(value) -> Column:
     return value if isinstance(value, Column) else F.col(value)
 
 
+# v is rounded to a multiple of 1 / s.
+_ROUND_SQL = """
+CASE WHEN abs({v}) * {s} >= {limit} THEN CAST({v} AS DOUBLE)
+     WHEN abs({v}) - floor(abs({v}) * {s}) / {s} < ceil(abs({v}) * {s}) / {s} - abs({v})
+       OR (abs({v}) - floor(abs({v}) * {s}) / {s} = ceil(abs({v}) * {s}) / {s} - abs({v})
+           AND floor(abs({v}) * {s}) % 2 = 0)
+     THEN signum({v}) * (floor(abs({v}) * {s}) / {s})
+     ELSE signum({v}) * (ceil(abs({v}) * {s}) / {s}) END"""
+
+
 def round_nearest(value, digits: int = 0) -> Column:
     """Round to the nearer of the two neighbouring decimals, ties to even.
 
     Both neighbours are taken as doubles and the distances compared as doubles,
     so 0.15 rounds to 0.1 and 2.5 to 2.  This is how R 4 rounds; ``bround``
     differs where the text form of a double looks like a tie but is none.
+
+    A column name is cheapest: the whole expression is one text for Spark to parse.
     """
-    x = as_column(value).cast("double")
-    scale = F.lit(float(10**digits))
+    scale = f"{float(10**digits)!r}D"
+    if isinstance(value, str):
+        name = ".".join(f"`{part}`" for part in value.split("."))
+        v = f"CAST({name} AS DOUBLE)"
+        return F.expr(_ROUND_SQL.format(v=v, s=scale, limit=f"{_NO_FRACTION!r}D"))
+    step = F.lit(float(10**digits))
+    x = value.cast("double")
     size = F.abs(x)
-    scaled = size * scale
+    scaled = size * step
     below_units = F.floor(scaled)
-    below = below_units.cast("double") / scale
-    above = F.ceil(scaled).cast("double") / scale
+    below, above = below_units / step, F.ceil(scaled) / step
     down, up = size - below, above - size
     keep_below = (down < up) | ((down == up) & (below_units % 2 == 0))
-    nearest = F.when(keep_below, below).otherwise(above)
-    return F.when(scaled >= _NO_FRACTION, x).otherwise(F.signum(x) * nearest)
+    nearest = F.signum(x) * F.when(keep_below, below).otherwise(above)
+    return F.when(scaled >= _NO_FRACTION, x).otherwise(nearest)
+
+
+def round_columns(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
+    """Round the named columns in place."""
+    return df.withColumns({c: round_nearest(c, d) for c, d in digits.items()})
 
 
 def percent(part, whole, digits: int | None = 1) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightgrid import constants as K
-from nightgrid.functions.numbers import as_column, percent, round_nearest
+from nightgrid.functions.numbers import as_column, percent, round_columns
 from nightgrid.operators.contracts import cpn_contract, master_contract, require_columns
 from nightgrid.operators.quantiles import exact_percentiles
 from nightgrid.operators.reshape import share_of_group, share_of_total
@@ -15,35 +15,54 @@ def sum_or_zero(value) -> Column:
     return F.coalesce(F.sum(as_column(value)), F.lit(0))
 
 
-def status_share(status: str) -> Column:
-    return percent(F.count_if(F.col("Status") == status), F.count("*"))
+def status_percents() -> list[Column]:
+    return [
+        percent(F.count_if(F.col("Status") == s), F.count("*"), None).alias(f"pct_{s.lower()}")
+        for s in K.STATUS_LEVELS
+    ]
+
+
+def _spread(value: str, suffix: str, prefix: str = "", median: bool = True) -> list[Column]:
+    pieces = {
+        "mean": F.avg(value), "median": F.median(value), "sd": F.stddev_samp(value),
+        "min": F.min(value), "max": F.max(value),
+    }
+    if not median:
+        del pieces["median"]
+    return [x.alias(f"{prefix}{name}_{suffix}") for name, x in pieces.items()]
+
+
+def _digits(suffix: str, digits: int, prefix: str = "") -> dict[str, int]:
+    return {f"{prefix}{name}_{suffix}": digits for name in ("mean", "median", "sd", "min", "max")}
+
+
+_PERCENTS = {"pct_success": 1, "pct_partial": 1, "pct_fail": 1}
 
 
 def detector_activity_summary(grid: DataFrame) -> DataFrame:
     """Effort, activity and variability per detector, one aggregate."""
     cpn_contract(grid, status=True, rate=True)
-    calls, rate, hours = F.col("CallsPerNight"), F.col("CallsPerHour"), F.col("RecordingHours")
-
-    def five(value: Column, suffix: str, digits: int) -> list[Column]:
-        pieces = {
-            "mean": F.avg(value), "median": F.median(value), "sd": F.stddev_samp(value),
-            "min": F.min(value), "max": F.max(value),
-        }
-        return [round_nearest(x, digits).alias(f"{k}_{suffix}") for k, x in pieces.items()]
-
-    return grid.groupBy("Detector").agg(
+    rate = F.col("CallsPerHour")
+    stats = grid.groupBy("Detector").agg(
         F.count("*").alias("n_nights"),
-        round_nearest(sum_or_zero(hours), 1).alias("total_hours"),
-        round_nearest(F.avg(hours), 1).alias("mean_hours"),
-        *[status_share(s).alias(f"pct_{s.lower()}") for s in K.STATUS_LEVELS],
-        sum_or_zero(calls).alias("total_calls"),
-        *five(calls, "cpn", 1),
-        *five(rate, "cph", 2),
-        percent(F.stddev_samp(rate), F.avg(rate)).alias("cv_pct"),
-        percent(F.count_if(calls == 0), F.count("*")).alias("pct_zero"),
+        sum_or_zero("RecordingHours").alias("total_hours"),
+        F.avg("RecordingHours").alias("mean_hours"),
+        *status_percents(),
+        sum_or_zero("CallsPerNight").alias("total_calls"),
+        *_spread("CallsPerNight", "cpn"),
+        *_spread("CallsPerHour", "cph"),
+        percent(F.stddev_samp(rate), F.avg(rate), None).alias("cv_pct"),
+        percent(F.count_if(F.col("CallsPerNight") == 0), F.count("*"), None).alias("pct_zero"),
         F.min("Night").alias("first_night"),
         F.max("Night").alias("last_night"),
     )
+    return round_columns(
+        stats,
+        {
+            "total_hours": 1, "mean_hours": 1, **_PERCENTS,
+            **_digits("cpn", 1), **_digits("cph", 2), "cv_pct": 1, "pct_zero": 1,
+        },
+    )
 
 
 def coefficient_of_variation(grid: DataFrame) -> DataFrame:
@@ -58,16 +77,20 @@ def effort_summary(grid: DataFrame) -> DataFrame:
     require_columns(grid, ["Detector", "Night", "RecordingHours"])
     hours = F.col("RecordingHours")
     with_data = F.count_if(hours > 0)
-    return grid.groupBy("Detector").agg(
+    stats = grid.groupBy("Detector").agg(
         F.count("*").alias("total_nights"),
         with_data.alias("nights_with_data"),
-        round_nearest(sum_or_zero(hours), 1).alias("total_recording_hours"),
-        percent(with_data, F.count("*")).alias("percent_nights_with_data"),
-        round_nearest(F.avg(hours), 2).alias("mean_hours_per_night"),
+        sum_or_zero(hours).alias("total_recording_hours"),
+        percent(with_data, F.count("*"), None).alias("percent_nights_with_data"),
+        F.avg(hours).alias("mean_hours_per_night"),
         F.concat_ws(
             " to ", F.min("Night").cast("string"), F.max("Night").cast("string")
         ).alias("date_range"),
     )
+    return round_columns(
+        stats,
+        {"total_recording_hours": 1, "percent_nights_with_data": 1, "mean_hours_per_night": 2},
+    )
 
 
 def study_summary(grid: DataFrame) -> DataFrame:
@@ -77,40 +100,37 @@ def study_summary(grid: DataFrame) -> DataFrame:
     from a distributed quantile: ``median`` over all rows would need one task.
     """
     cpn_contract(grid, status=True, rate=True)
-    calls, rate = F.col("CallsPerNight"), F.col("CallsPerHour")
     medians = exact_percentiles(grid, {"CallsPerNight": [0.5], "CallsPerHour": [0.5]})
-    medians = medians.select(F.struct("*").alias("m")).scalar()
-
-    def spread(value: Column, suffix: str, digits: int) -> list[Column]:
-        pieces = {
-            "mean": F.avg(value), "sd": F.stddev_samp(value),
-            "min": F.min(value), "max": F.max(value),
-        }
-        return [round_nearest(x, digits).alias(f"overall_{k}_{suffix}") for k, x in pieces.items()]
-
+    medians = medians.select(
+        F.struct(
+            F.col("CallsPerNight_p0").alias("cpn"), F.col("CallsPerHour_p0").alias("cph")
+        ).alias("m")
+    ).scalar()
     row = grid.agg(
         F.countDistinct("Detector").alias("n_detectors"),
         F.count("*").alias("n_detector_nights"),
         F.min("Night").alias("study_start"),
         F.max("Night").alias("study_end"),
-        sum_or_zero(calls).alias("total_calls"),
-        round_nearest(sum_or_zero("RecordingHours"), 1).alias("total_hours"),
-        *spread(calls, "cpn", 1),
-        *spread(rate, "cph", 2),
-        *[status_share(s).alias(f"pct_{s.lower()}") for s in K.STATUS_LEVELS],
-    )
-    return row.withColumn("_medians", medians).select(
-        "n_detectors", "n_detector_nights", "study_start", "study_end",
-        (F.datediff("study_end", "study_start") + 1).alias("study_duration_days"),
-        "total_calls", "total_hours",
-        "overall_mean_cpn",
-        round_nearest("_medians.CallsPerNight_p0", 1).alias("overall_median_cpn"),
-        "overall_sd_cpn", "overall_min_cpn", "overall_max_cpn",
-        "overall_mean_cph",
-        round_nearest("_medians.CallsPerHour_p0", 2).alias("overall_median_cph"),
-        "overall_sd_cph", "overall_min_cph", "overall_max_cph",
+        sum_or_zero("CallsPerNight").alias("total_calls"),
+        sum_or_zero("RecordingHours").alias("total_hours"),
+        *_spread("CallsPerNight", "cpn", "overall_", median=False),
+        *_spread("CallsPerHour", "cph", "overall_", median=False),
+        *status_percents(),
+    ).withColumn("_medians", medians)
+    row = row.withColumns(
+        {
+            "overall_median_cpn": F.col("_medians.cpn"),
+            "overall_median_cph": F.col("_medians.cph"),
+            "study_duration_days": F.datediff("study_end", "study_start") + 1,
+        }
+    )
+    cpn, cph = _digits("cpn", 1, "overall_"), _digits("cph", 2, "overall_")
+    row = round_columns(row, {"total_hours": 1, **_PERCENTS, **cpn, **cph})
+    return row.select(
+        "n_detectors", "n_detector_nights", "study_start", "study_end", "study_duration_days",
+        "total_calls", "total_hours", *cpn, *cph,
         percent("overall_sd_cph", "overall_mean_cph").alias("overall_cv_pct"),
-        "pct_success", "pct_partial", "pct_fail",
+        *_PERCENTS,
     )
 
 
@@ -124,12 +144,16 @@ def variance_components(grid: DataFrame) -> DataFrame:
         F.var_samp("mean").alias("between"), F.avg("variance").alias("within")
     )
     total = grid.agg(F.var_samp("CallsPerHour")).scalar()
-    return parts.withColumn("total", total).select(
-        round_nearest("total", 2).alias("var_total"),
-        round_nearest("between", 2).alias("var_between"),
-        round_nearest("within", 2).alias("var_within"),
-        percent("between", "total").alias("pct_between"),
-        percent("within", "total").alias("pct_within"),
+    table = parts.withColumn("total", total).select(
+        F.col("total").alias("var_total"),
+        F.col("between").alias("var_between"),
+        F.col("within").alias("var_within"),
+        percent("between", "total", None).alias("pct_between"),
+        percent("within", "total", None).alias("pct_within"),
+    )
+    return round_columns(
+        table,
+        {"var_total": 2, "var_between": 2, "var_within": 2, "pct_between": 1, "pct_within": 1},
     )
 
 

@@ -19,7 +19,8 @@ def list_files(
 ) -> DataFrame:
     """(path, length, modificationTime) of matching files.
 
-    Only metadata is read: the content column is pruned.
+    Only metadata is read: the content column is pruned.  Spark leaves out files
+    of zero bytes.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     reader = reader.option("recursiveFileLookup", str(recursive).lower())
