@@ -8,6 +8,7 @@ what costs time when a column mixes formats.
 
 from __future__ import annotations
 
+import functools
 import zoneinfo
 
 from pyspark.sql import Column, functions as F
@@ -16,8 +17,10 @@ from nightgrid.constants import DATE_PATTERNS
 from nightgrid.functions.numbers import as_column
 
 _CLOCK = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"
+_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
+_YEAR_LAST = r"^(\d{1,2})-(\d{1,2})-(\d{4})([ T].*)?$"
 _MONTH_FIRST = (
-    r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?\s*([AaPp][Mm])?\s*$"
+    r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}:\d{1,2}(?::\d{1,2})?)\s*(?:[AaPp][Mm])?\s*$"
 )
 
 
@@ -28,20 +31,16 @@ def parse_date(value, day_first: bool = False) -> Column:
     is ignored.
     """
     text = F.translate(F.trim(as_column(value)), "/.", "--")
-    parts = F.split(text, "-")
-    first, second, third = (F.get(parts, i) for i in range(3))
-    year = F.substring_index(third, " ", 1)
-    dash = F.lit("-")
-    iso = F.when((F.length(first) == 4) & third.isNotNull(), text).try_cast("date")
-    has_year = F.length(year) == 4
+
+    def reordered(order: str) -> Column:
+        return F.when(text.rlike(_YEAR_LAST), F.regexp_replace(text, _YEAR_LAST, order))
+
     candidates = [
-        iso,
-        F.when(has_year, F.concat(year, dash, first, dash, second)).try_cast("date"),
+        F.when(text.rlike(_ISO_DATE), text).try_cast("date"),
+        reordered("$3-$1-$2").try_cast("date"),
     ]
     if day_first:
-        candidates.append(
-            F.when(has_year, F.concat(year, dash, second, dash, first)).try_cast("date")
-        )
+        candidates.append(reordered("$3-$2-$1").try_cast("date"))
     return F.coalesce(*candidates)
 
 
@@ -68,24 +67,21 @@ def study_night(local_time, cutoff_hour: int = 18) -> Column:
 
 
 def parse_month_first(value) -> Column:
-    """'10/4/2025 6:05[:09] [PM]' -> timestamp; text without '/' gives NULL."""
-    text = as_column(value)
+    """'10/4/2025 6:05[:09] [PM]' -> timestamp; text without '/' gives NULL.
 
-    def piece(i):
-        return F.regexp_extract(text, _MONTH_FIRST, i)
-
-    hour = piece(4).try_cast("int")
-    half = F.upper(piece(7))
-    hour24 = (
-        F.when((half == "PM") & (hour < 12), hour + 12)
-        .when((half == "AM") & (hour == 12), F.lit(0))
-        .otherwise(hour)
-    )
-    second = F.when(piece(6) == "", F.lit("00")).otherwise(piece(6))
-    rebuilt = F.format_string(
-        "%s-%s-%s %d:%s:%s", piece(3), piece(1), piece(2), hour24, piece(5), second
+    Hours of 13 and more are taken as they are, even before a PM.
+    """
+    text = as_column(value)
+    ordered = F.regexp_replace(text, _MONTH_FIRST, "$3-$1-$2 $4")
+    moment = F.when(text.contains("/"), ordered).try_cast("timestamp_ntz")
+    half = F.upper(F.right(F.rtrim(text), F.lit(2)))
+    hour = F.hour(moment)
+    twelve = F.expr("INTERVAL 12 HOURS")
+    return (
+        F.when((half == "PM") & (hour < 12), moment + twelve)
+        .when((half == "AM") & (hour == 12), moment - twelve)
+        .otherwise(moment)
     )
-    return F.when(text.rlike(_MONTH_FIRST), rebuilt).try_cast("timestamp_ntz")
 
 
 def clock_of(value) -> Column:
@@ -185,8 +181,13 @@ def is_clock_text(value) -> Column:
     return F.coalesce(as_column(value).rlike(r"^\d{2}:\d{2}:\d{2}$"), F.lit(False))
 
 
+@functools.cache
+def _timezone_names() -> frozenset[str]:
+    return frozenset(zoneinfo.available_timezones())
+
+
 def is_valid_timezone(name: str) -> bool:
-    return name in zoneinfo.available_timezones()
+    return name in _timezone_names()
 
 
 def require_timezone(name: str) -> None:
@@ -196,5 +197,4 @@ def require_timezone(name: str) -> None:
 
 def is_known_timezone(value) -> Column:
     """Row-wise form of ``is_valid_timezone``."""
-    names = sorted(zoneinfo.available_timezones())
-    return F.coalesce(as_column(value).isin(names), F.lit(False))
+    return F.coalesce(as_column(value).isin(sorted(_timezone_names())), F.lit(False))

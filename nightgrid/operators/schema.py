@@ -60,15 +60,21 @@ def unify_schema(df: DataFrame) -> DataFrame:
     legacy = version == K.SCHEMA_V1
     recoded = version.isin(K.SCHEMA_V1, K.SCHEMA_V2)
     listed = F.coalesce(_column_or_null(df, "alternates"), _column_or_null(df, "alternate_1"))
-    items = split_list(listed)
-
-    def unified(plain: Column) -> Column:
-        return F.when(recoded, recode_species(plain)).otherwise(plain)
-
-    changes = {"auto_id": unified(_column_or_null(df, "auto_id"))}
-    for i, name in enumerate(ALTERNATES):
-        own = F.when(legacy, F.get(items, i)).otherwise(_column_or_null(df, name))
-        changes[name] = unified(own)
+    # In steps, so that the list is split once and not once per column.
+    items = df.withColumn("_items", F.when(legacy, split_list(listed)))
+    df = items.withColumns(
+        {
+            "auto_id": _column_or_null(df, "auto_id"),
+            **{
+                name: F.when(legacy, F.get("_items", i)).otherwise(_column_or_null(df, name))
+                for i, name in enumerate(ALTERNATES)
+            },
+        }
+    ).drop("_items")
+    changes = {
+        name: F.when(recoded, recode_species(name)).otherwise(F.col(name))
+        for name in ("auto_id", *ALTERNATES)
+    }
     if "_read_order" in df.columns:
         # Rows are met version by version, so the version leads the reading order.
         rank = F.array_position(

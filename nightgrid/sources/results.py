@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,11 +12,22 @@ from nightgrid import constants as K
 from nightgrid.operators.contracts import ContractError, missing_columns
 from nightgrid.operators.reshape import one_row_to_pairs
 
+CONCURRENT_WRITES = 6
 RELEASE_SUMMARIES = (
     "detector_summary", "study_summary", "species_summary", "hourly_summary",
 )
 
 
+def run_together(actions: Sequence[Callable[[], object]]) -> list:
+    """Run independent Spark actions at the same time and return their results.
+
+    Small jobs leave executors idle while one of them plans or waits for its last
+    task; started together they fill each other's gaps.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(CONCURRENT_WRITES, len(actions)))) as pool:
+        return [job.result() for job in [pool.submit(action) for action in actions]]
+
+
 def summary_layout(name: str, df: DataFrame) -> DataFrame:
     """The file layout of a summary: one-row tables are stood upright."""
     if name == "study_summary":
@@ -32,10 +45,13 @@ def write_summary_tables(
 ) -> list[str]:
     """Write each enabled summary to its own folder; returns the names written."""
     names = [n for n in summaries if enabled is None or n in set(enabled)]
-    for name in names:
+
+    def write(name: str) -> None:
         table = summary_layout(name, summaries[name])
         writer = table.write.option("header", True) if fmt == "csv" else table.write
         writer.format(fmt).save(f"{root}/{name}")
+
+    run_together([partial(write, name) for name in names])
     return names
 
 
@@ -63,11 +79,9 @@ def write_release(
     problems = release_problems(grid, master)
     if problems:
         raise ContractError("; ".join(problems))
-    grid.write.parquet(f"{root}/calls_per_night")
-    master.hint("rebalance").write.parquet(f"{root}/master")
-    written = ["calls_per_night", "master"]
-    for name in RELEASE_SUMMARIES:
-        if name in summaries:
-            summaries[name].write.parquet(f"{root}/summary/{name}")
-            written.append(f"summary/{name}")
-    return written
+    tables = {"calls_per_night": grid, "master": master.hint("rebalance")}
+    tables |= {f"summary/{n}": summaries[n] for n in RELEASE_SUMMARIES if n in summaries}
+    run_together(
+        [partial(df.write.parquet, f"{root}/{name}") for name, df in tables.items()]
+    )
+    return list(tables)
