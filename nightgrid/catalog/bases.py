@@ -145,6 +145,24 @@ def versioned_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_schema_version(raw_exports(spark, sf_dir), F.col("kind") == 0)
 
 
+def order_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as detections: a customer is a detector, priority and status a species.
+
+    They span several years, and the species appear one after another.
+    """
+    species = F.concat_ws("/", "o_orderpriority", "o_orderstatus")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("Detector"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("DateTime_local"),
+        species.alias("auto_id"), species.alias("species"),
+        F.to_date("o_orderdate").alias("Night"),
+    )
+
+
+ORDERS_SQL = """WITH ord AS (
+  SELECT o_orderpriority || '/' || o_orderstatus AS species, CAST(o_orderdate AS DATE) AS Night FROM orders)"""
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Doubles that differ between engines in the last bits, cut to six digits."""
     return df.withColumns({c: round_nearest(c, digits) for c in columns})

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nightgrid.catalog.bases import (
-    all_species, final_grid, master, on_grid, on_master, plain_grid, rounded, rr, sparse_grid, table,
+    ORDERS_SQL as _ORDERS,
+    all_species, final_grid, master, on_grid, on_master, order_species, plain_grid, rounded, rr, sparse_grid, table,
 )
 from nightgrid.catalog.registry import query
 from nightgrid.operators import (
@@ -228,18 +229,6 @@ def _(spark, sf_dir):
     return chart_species.species_nightly_activity(all_species(spark, sf_dir), top_n=2)
 
 
-def order_species(spark, sf_dir):
-    """Order priorities as species over several years, for week and month bins."""
-    return table(spark, sf_dir, "orders").select(
-        F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("species"),
-        F.to_date("o_orderdate").alias("Night"),
-    )
-
-
-_ORDERS = """WITH ord AS (
-  SELECT o_orderpriority || '/' || o_orderstatus AS species, CAST(o_orderdate AS DATE) AS Night FROM orders)"""
-
-
 @query(
     "species_phenology",
     _ORDERS + """,

@@ -150,7 +150,7 @@ def _(spark, sf_dir):
 @query(
     "template_edit_log",
     on_grid(_TEMPLATES + """
-    SELECT CAST(row_number() OVER (ORDER BY Detector, Night) AS INTEGER) AS edit_no, Detector, Night,
+    SELECT row_number() OVER (ORDER BY Detector, Night) AS edit_no, Detector, Night,
       '[' || row_number() OVER (ORDER BY Detector, Night) || '] ' || Detector || ' | ' || strftime(Night, '%Y-%m-%d') ||
       CASE slot WHEN 1 THEN chr(10) || '    StartDateTime CHANGED: ' || strftime(s0, '%m/%d/%Y %H:%M') || ' -> ' || strftime(s1, '%m/%d/%Y %H:%M')
                 WHEN 2 THEN chr(10) || '    StartDateTime REMOVED: ' || strftime(s0, '%m/%d/%Y %H:%M') || ' -> <blank>' ELSE '' END ||

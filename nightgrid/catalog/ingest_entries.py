@@ -14,7 +14,7 @@ from nightgrid.catalog.bases import (
 from nightgrid.catalog.registry import query
 from nightgrid.catalog.summary_entries import HOURLY_COPIES, _VARIANCE, hourly_copies
 from nightgrid.operators import clean, ingest, schema, summaries
-from nightgrid.operators.audit import cleaning_counts, row_audit
+from nightgrid.operators.audit import cleaning_counts, row_audit, unparsed_times
 from nightgrid.plans.phases import localize, prepare_master
 from nightgrid.sources import exports, results, snapshots, templates
 from nightgrid.sources.names import clean_names
@@ -442,3 +442,12 @@ def _(spark, sf_dir):
         }
     )
     return row_audit(cleaning_counts(raw))
+
+
+@query(
+    "unparsed_times",
+    on_raw("""
+    SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (event_id % 97 = 0) AS n_unparsed, CAST(0 AS BIGINT) AS n_without_text FROM raw"""),
+)
+def _(spark, sf_dir):
+    return unparsed_times(localize(raw_exports(spark, sf_dir), CONFIG.timezone))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nightgrid.catalog.bases import (
-    all_species, detections, final_grid, master, on_grid, on_master, pct, plain_grid, rounded, rr,
+    ORDERS_SQL, all_species, detections, final_grid, master, on_grid, on_master, order_species, pct, plain_grid,
+    rounded, rr,
 )
 from nightgrid.catalog.registry import query
 from nightgrid.operators import reshape, summaries
@@ -14,6 +15,7 @@ from nightgrid.operators.chart_detector import rolling_mean_rank
 from nightgrid.operators.chart_species import cumulative_species, species_rank_abundance
 from nightgrid.operators.chart_quality import label_midpoint, status_by_detector
 from nightgrid.operators.clean import keep_first
+from nightgrid.operators.condense import condense
 
 
 def _five(value: str, suffix: str, digits: int, prefix: str = "") -> str:
@@ -114,15 +116,13 @@ def _(spark, sf_dir):
 
 @query(
     "species_accumulation",
-    on_master("""
+    ORDERS_SQL + """
     SELECT Night, COUNT(*) AS new_species, string_agg(species, ', ' ORDER BY species) AS new_species_list,
       CAST(SUM(COUNT(*)) OVER (ORDER BY Night) AS BIGINT) AS cumulative_species
-    FROM (SELECT Detector || species AS species, MIN(Night) AS Night FROM master GROUP BY 1) GROUP BY Night"""),
+    FROM (SELECT species, MIN(Night) AS Night FROM ord GROUP BY 1) GROUP BY Night""",
 )
 def _(spark, sf_dir):
-    # Five event types all occur on the first night; per detector the curve has a shape.
-    rows = master(spark, sf_dir).withColumn("species", F.concat("Detector", "species"))
-    return summaries.species_accumulation(rows)
+    return summaries.species_accumulation(order_species(spark, sf_dir))
 
 
 @query(
@@ -172,14 +172,13 @@ def _(spark, sf_dir):
 
 @query(
     "cumulative_species",
-    on_grid("""
-    SELECT n.Night, (SELECT COUNT(*) FROM (SELECT Detector || species AS s, MIN(Night) AS f FROM master GROUP BY 1) x
-      WHERE x.f <= n.Night) AS cumulative_species FROM nights n"""),
+    ORDERS_SQL + """
+    SELECT CAST(n.d AS DATE) AS Night, (SELECT COUNT(*) FROM (SELECT species, MIN(Night) AS f FROM ord GROUP BY 1) x
+      WHERE x.f <= n.d) AS cumulative_species
+    FROM (SELECT unnest(generate_series(MIN(Night), MAX(Night), INTERVAL 1 DAY)) AS d FROM ord) n""",
 )
 def _(spark, sf_dir):
-    return cumulative_species(
-        master(spark, sf_dir).withColumn("species", F.concat("Detector", "species"))
-    )
+    return cumulative_species(order_species(spark, sf_dir))
 
 
 @query(
@@ -373,3 +372,13 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     counts = all_species(spark, sf_dir).groupBy("Detector", "species").agg(F.count("*").alias("n_calls"))
     return reshape.completed(counts, "Detector", "species")
+
+
+@query(
+    "condense",
+    on_master("""
+    SELECT Detector, auto_id, species, Night, date_trunc('hour', DateTime_local) AS DateTime_local, Hour_local,
+      COUNT(*) AS _weight FROM master GROUP BY ALL"""),
+)
+def _(spark, sf_dir):
+    return condense(master(spark, sf_dir))

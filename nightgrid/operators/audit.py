@@ -74,6 +74,19 @@ def row_audit(counts: DataFrame) -> DataFrame:
     )
 
 
+def unparsed_times(localized: DataFrame) -> DataFrame:
+    """One row: rows whose date or time text is present but gave no timestamp.
+
+    Takes the table before ``final_column_select`` drops the texts.
+    """
+    given = F.col("date").isNotNull() & F.col("time").isNotNull()
+    return localized.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(given & F.col("DateTime_UTC").isNull()).alias("n_unparsed"),
+        F.count_if(~given).alias("n_without_text"),
+    )
+
+
 def _portable_text(df: DataFrame, columns: Sequence[str]) -> Column:
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
     return F.concat_ws("\x1f", *parts)

@@ -11,6 +11,7 @@ from nightgrid.functions.numbers import percent, share, short_count
 from nightgrid.functions.species import is_unidentified
 from nightgrid.functions.times import bin_date
 from nightgrid.operators.clean import filter_identified
+from nightgrid.operators.condense import n_calls, n_calls_where
 from nightgrid.operators.reshape import completed, completed_hours, keep_top_n, rank_abundance
 from nightgrid.operators.summaries import first_detections
 
@@ -31,7 +32,7 @@ def species_composition(
     master: DataFrame, top_n: int | None = None, exclude_noid: bool = True
 ) -> DataFrame:
     """Calls per species and their share of the species kept."""
-    counts = _rows(master, exclude_noid).groupBy("species").agg(F.count("*").alias("TotalCalls"))
+    counts = _rows(master, exclude_noid).groupBy("species").agg(n_calls(master).alias("TotalCalls"))
     if top_n is not None:
         counts = counts.orderBy(F.desc("TotalCalls"), "species").limit(top_n)
     total = counts.agg(F.sum("TotalCalls")).scalar()
@@ -45,7 +46,7 @@ def species_by_detector_matrix(master: DataFrame, exclude_noid: bool = True) ->
     counts = (
         _rows(master, exclude_noid)
         .groupBy("Detector", "species")
-        .agg(F.count("*").alias("n_calls"))
+        .agg(n_calls(master).alias("n_calls"))
     )
     totals = counts.groupBy("species").agg(F.sum("n_calls").alias("species_total"))
     return completed(counts, "Detector", "species").join(totals, "species").select(
@@ -57,7 +58,7 @@ def species_by_detector_matrix(master: DataFrame, exclude_noid: bool = True) ->
 def cumulative_species(master: DataFrame, exclude_noid: bool = True) -> DataFrame:
     """Species known by each night, for every night of the span."""
     rows = _rows(derive_night(master), exclude_noid)
-    nightly = rows.groupBy("species", "Night").agg(F.count("*").alias("n"))
+    nightly = rows.select("species", "Night").distinct()
     new = first_detections(nightly).groupBy("first_night").agg(F.count("*").alias("new"))
     first = nightly.agg(F.min("Night")).scalar()
     last = nightly.agg(F.max("Night")).scalar()
@@ -88,7 +89,7 @@ def species_hourly_profile(
     counts = (
         _rows(master, exclude_noid)
         .groupBy("species", F.col("Hour_local").cast("int").alias("Hour_local"))
-        .agg(F.count("*").alias("n_calls"))
+        .agg(n_calls(master).alias("n_calls"))
     )
     counts = keep_top_n(counts, top_n)
     total = F.sum("n_calls").over(Window.partitionBy("species"))
@@ -102,8 +103,8 @@ def noid_proportion(master: DataFrame) -> DataFrame:
     Takes the table before unidentified rows are dropped.
     """
     counts = master.groupBy("Detector").agg(
-        F.count("*").alias("total_calls"),
-        F.count_if(is_unidentified("species")).alias("noid_calls"),
+        n_calls(master).alias("total_calls"),
+        n_calls_where(master, is_unidentified("species")).alias("noid_calls"),
     )
     overall = counts.agg(share(F.sum("noid_calls"), F.sum("total_calls"))).scalar()
     return counts.select(
@@ -117,7 +118,7 @@ def noid_and_richness_by_night(master: DataFrame) -> DataFrame:
     by_species = (
         derive_night(master)
         .groupBy("Night", "species")
-        .agg(F.count("*").alias("n"))
+        .agg(n_calls(master).alias("n"))
     )
     return by_species.groupBy("Night").agg(
         F.sum("n").alias("total_calls"),
@@ -140,7 +141,7 @@ def species_detector_composition(
     counts = (
         _rows(master, exclude_noid)
         .groupBy("Detector", "species")
-        .agg(F.count("*").alias("n_calls"))
+        .agg(n_calls(master).alias("n_calls"))
     )
     counts = keep_top_n(counts, top_n)
     if not normalize:
@@ -155,7 +156,7 @@ def species_nightly_activity(
     counts = (
         _rows(derive_night(master), exclude_noid)
         .groupBy("species", "Night")
-        .agg(F.count("*").alias("n_calls"))
+        .agg(n_calls(master).alias("n_calls"))
     )
     return keep_top_n(counts, top_n)
 
@@ -167,7 +168,7 @@ def species_phenology(
     counts = (
         _rows(derive_night(master), exclude_noid)
         .groupBy("species", bin_date("Night", time_bin).alias("TimeBin"))
-        .agg(F.count("*").alias("n_calls"))
+        .agg(n_calls(master).alias("n_calls"))
     )
     return completed(keep_top_n(counts, top_n), "species", "TimeBin")
 
@@ -187,5 +188,5 @@ def species_turnover(
 
 
 def species_rank_abundance(master: DataFrame, exclude_noid: bool = True) -> DataFrame:
-    counts = _rows(master, exclude_noid).groupBy("species").agg(F.count("*").alias("n_calls"))
+    counts = _rows(master, exclude_noid).groupBy("species").agg(n_calls(master).alias("n_calls"))
     return rank_abundance(counts)

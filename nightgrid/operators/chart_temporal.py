@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from nightgrid.functions.times import iso_week, month_floor, week_floor
+from nightgrid.operators.condense import n_calls
 from nightgrid.operators.quantiles import exact_median
 from nightgrid.operators.reshape import completed_hours
 from nightgrid.operators.summaries import sum_or_zero
@@ -40,10 +41,10 @@ def hourly_profile(master: DataFrame, metric: str = "total") -> DataFrame:
     """
     hour = F.col("Hour_local").cast("int").alias("Hour_local")
     if metric == "total":
-        activity = master.groupBy(hour).agg(F.count("*").alias("activity"))
+        activity = master.groupBy(hour).agg(n_calls(master).alias("activity"))
     elif metric == "mean":
         daily = master.groupBy(F.to_date("DateTime_local").alias("day"), hour).agg(
-            F.count("*").alias("n")
+            n_calls(master).alias("n")
         )
         activity = daily.groupBy("Hour_local").agg(F.avg("n").alias("activity"))
     else:

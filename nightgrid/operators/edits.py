@@ -64,10 +64,16 @@ def _side_text(side: str) -> Column:
 def edit_log(diff: DataFrame) -> DataFrame:
     """Numbered, ordered log entries of the edited rows.
 
-    Only rows a person edited reach the one-partition numbering.
+    Rows are numbered within their detector and shifted by the edits of the
+    detectors before it, so only one count per detector is ordered in one task.
     """
-    rows = diff.where("Any_change")
-    number = F.row_number().over(Window.orderBy("Detector", "Night"))
+    edited = diff.where("Any_change")
+    per_detector = edited.groupBy("Detector").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("Detector")) - F.col("_n")
+    shift = per_detector.select("Detector", before.alias("_before"))
+    place = F.row_number().over(Window.partitionBy("Detector").orderBy("Night"))
+    rows = edited.withColumn("_place", place).join(shift, "Detector")
+    rows = rows.withColumn("edit_no", F.col("_before") + F.col("_place"))
     hours = F.coalesce(fixed("RecordingHours_edit", 2), F.lit("NA"))
     entry = F.concat(
         F.lit("["), F.col("edit_no").cast("string"), F.lit("] "),
@@ -75,6 +81,6 @@ def edit_log(diff: DataFrame) -> DataFrame:
         _side_text("StartDateTime"), _side_text("EndDateTime"),
         F.lit("\n    RecordingHours: "), hours, F.lit("\n"),
     )
-    return rows.withColumn("edit_no", number).select(
+    return rows.select(
         "edit_no", "Detector", "Night", entry.alias("entry")
     )

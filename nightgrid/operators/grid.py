@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from nightgrid import constants as K
 from nightgrid.config import Schedule
 from nightgrid.functions.times import recording_hours, schedule_texts, week_floor
+from nightgrid.operators.condense import n_calls
 
 KEYS = ["Detector", "Night"]
 
 
 def calls_per_night(master: DataFrame) -> DataFrame:
-    return master.groupBy(*KEYS).agg(F.count("*").alias("CallsPerNight"))
+    return master.groupBy(*KEYS).agg(n_calls(master).alias("CallsPerNight"))
 
 
 def night_span(df: DataFrame) -> tuple[Column, Column]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightgrid import constants as K
 from nightgrid.functions.numbers import as_column, percent, round_columns
+from nightgrid.operators.condense import n_calls
 from nightgrid.operators.contracts import cpn_contract, master_contract, require_columns
 from nightgrid.operators.quantiles import exact_percentiles
 from nightgrid.operators.reshape import share_of_group, share_of_total
@@ -162,7 +163,7 @@ def species_by_detector(master: DataFrame) -> DataFrame:
     counts = (
         master.where(F.col("species").isNotNull())
         .groupBy("Detector", "species")
-        .agg(F.count("*").alias("n_calls"))
+        .agg(n_calls(master).alias("n_calls"))
     )
     return share_of_group(counts, "Detector", "n_calls", "pct_of_detector").orderBy(
         "Detector", F.desc("n_calls"), "species"
@@ -195,7 +196,7 @@ def species_accumulation(master: DataFrame) -> DataFrame:
 
 def hourly_activity(master: DataFrame) -> DataFrame:
     master_contract(master)
-    counts = master.groupBy("Hour_local").agg(F.count("*").alias("n_calls"))
+    counts = master.groupBy("Hour_local").agg(n_calls(master).alias("n_calls"))
     return share_of_total(counts, "n_calls", "pct_of_total").orderBy("Hour_local")
 
 

@@ -15,6 +15,7 @@ from nightgrid.config import StudyConfig
 from nightgrid.functions.species import unified_species
 from nightgrid.functions.times import clock_text, parse_utc, study_night, to_local
 from nightgrid.operators import clean, edits, grid, mapping, summaries
+from nightgrid.operators.condense import condense
 from nightgrid.operators.schema import enforce_types, final_column_select, unify_schema
 from nightgrid.sources.exports import load_flat_dir, load_recursive_dir, union_sources
 from nightgrid.sources.snapshots import read_latest_snapshot, write_snapshot
@@ -87,6 +88,7 @@ def prepare_template(
 
 
 def summary_tables(cpn: DataFrame, master: DataFrame) -> dict[str, DataFrame]:
+    """The six summaries; ``master`` may be condensed."""
     return {
         "detector_summary": summaries.detector_activity_summary(cpn),
         "study_summary": summaries.study_summary(cpn),
@@ -142,6 +144,7 @@ def run_template(
 @dataclass(frozen=True)
 class StudyResult:
     grid: DataFrame
+    calls: DataFrame
     edit_diff: DataFrame
     edit_log: DataFrame
     summaries: dict[str, DataFrame]
@@ -156,5 +159,8 @@ def run_analysis(
         edited, config.intended_hours, config.detector_specific_schedules
     )
     write_snapshot(final, f"{out}/calls_per_night", run_ts)
-    cpn = read_latest_snapshot(master.sparkSession, f"{out}/calls_per_night").drop("run_ts")
-    return StudyResult(cpn, diff, edits.edit_log(diff), summary_tables(cpn, master))
+    spark = master.sparkSession
+    cpn = read_latest_snapshot(spark, f"{out}/calls_per_night").drop("run_ts")
+    write_snapshot(condense(master), f"{out}/hourly_counts", run_ts)
+    calls = read_latest_snapshot(spark, f"{out}/hourly_counts").drop("run_ts")
+    return StudyResult(cpn, calls, diff, edits.edit_log(diff), summary_tables(cpn, calls))

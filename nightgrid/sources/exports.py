@@ -20,6 +20,7 @@ from nightgrid.operators.ingest import (
 )
 from nightgrid.sources.files import list_files, probe_headers, split_header
 from nightgrid.sources.names import clean_names
+from nightgrid.sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -88,24 +89,23 @@ def read_exports(
     keep_invalid: bool = False,
     multi_line: bool = False,
 ) -> Exports:
-    """Read all matching files below ``root``.  Runs one job over file headers."""
-    probed = probe_headers(list_files(spark, root, glob, recursive))
-    report = probed.collect()
-    groups: dict[str, list[str]] = {}
-    for row in report:
-        if row.status == "ok":
-            groups.setdefault(row.header, []).append(row.path)
-        else:
-            warnings.warn(f"skipped {row.path}: {row.status}", stacklevel=2)
+    """Read all matching files below ``root``.
+
+    Runs jobs over file headers.  The driver sees each distinct header once.
+    """
+    probed = materialize(probe_headers(list_files(spark, root, glob, recursive)), "headers")
+    for row in probed.where("status <> 'ok'").select("path", "status").collect():
+        warnings.warn(f"skipped {row.path}: {row.status}", stacklevel=2)
+    readable = probed.where("status = 'ok'")
+    headers = [r.header for r in readable.select("header").distinct().collect()]
     parts = []
-    for header, paths in sorted(groups.items()):
+    for header in sorted(headers):
+        same = readable.where(F.col("header") == header).select("path").orderBy("path")
+        paths = [r.path for r in same.collect()]
         columns = clean_names(split_header(header))
-        raw = read_all_string_csv(spark, sorted(paths), columns, multi_line)
+        raw = read_all_string_csv(spark, paths, columns, multi_line)
         parts.append(intro_standardize(with_provenance(raw, source_rank), keep_invalid))
-    files = spark.createDataFrame(
-        [(r.path, r.status) for r in report], "path string, status string"
-    )
-    return Exports(bind_rows(parts) if parts else None, files)
+    return Exports(bind_rows(parts) if parts else None, probed.select("path", "status"))
 
 
 def load_flat_dir(spark: SparkSession, directory: str, **options) -> Exports:

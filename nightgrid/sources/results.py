@@ -79,7 +79,7 @@ def write_release(
     problems = release_problems(grid, master)
     if problems:
         raise ContractError("; ".join(problems))
-    tables = {"calls_per_night": grid, "master": master.hint("rebalance")}
+    tables = {"calls_per_night": grid, "master": master}
     tables |= {f"summary/{n}": summaries[n] for n in RELEASE_SUMMARIES if n in summaries}
     run_together(
         [partial(df.write.parquet, f"{root}/{name}") for name, df in tables.items()]

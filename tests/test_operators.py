@@ -13,6 +13,7 @@ from nightgrid.operators import (
     audit, chart_detector, chart_quality, chart_species, chart_temporal, contracts, edits, grid,
     profile, quantiles, reshape, summaries,
 )
+from nightgrid.operators.condense import condense
 from nightgrid.plans import phases
 from nightgrid.sources import results, templates
 
@@ -454,3 +455,31 @@ def test_audit_adds_up(spark, rows):
     assert phases.clean_master(valid, config).count() == table[-1][4]
     kept = audit.row_audit(audit.cleaning_counts(raw, remove_duplicates=False, remove_noid=False))
     assert [r.n_removed for r in kept.orderBy("step").collect()] == [2, 0, 0, 3]
+
+
+def test_condensed_calls_give_the_same_tables(calls, rows):
+    small = condense(calls)
+    assert small.count() == 8 and small.agg(F.sum("_weight")).first()[0] == 9
+    same = [
+        summaries.species_by_detector, summaries.species_accumulation, summaries.hourly_activity, grid.calls_per_night,
+        chart_detector.total_calls_by_detector, chart_species.species_composition, chart_species.species_by_detector_matrix,
+        chart_species.cumulative_species, chart_species.species_hourly_profile, chart_species.noid_proportion,
+        chart_species.noid_and_richness_by_night, chart_species.species_detector_composition,
+        chart_species.species_nightly_activity, chart_species.species_phenology, chart_species.species_turnover,
+        chart_species.species_rank_abundance, chart_temporal.hourly_profile,
+        lambda df: chart_temporal.hourly_profile(df, "mean"),
+    ]
+    for operator in same:
+        assert rows(operator(calls)) == rows(operator(small)), operator
+
+
+def test_edit_numbers_follow_detector_and_night(spark):
+    nights = [dt.date(2025, 10, d) for d in (4, 5, 6)]
+    kind = "Detector string, Night date, StartDateTime string, EndDateTime string, RecordingHours double"
+    cells = [(d, n) for d in "cab" for n in nights]
+    before = spark.createDataFrame([(d, n, "10/04/2025 18:00", None, 1.0) for d, n in cells], kind)
+    after = spark.createDataFrame([(d, n, "10/04/2025 19:00" if (d, n.day) != ("a", 5) else "10/04/2025 18:00", None, 1.0) for d, n in cells], kind)
+    log = edits.edit_log(edits.template_edit_diff(before, after.repartition(4)))
+    found = [(r.edit_no, r.Detector, r.Night.day) for r in log.orderBy("edit_no").collect()]
+    assert [f[0] for f in found] == list(range(1, 9))
+    assert [f[1:] for f in found] == sorted((d, n.day) for d, n in cells if (d, n.day) != ("a", 5))
