@@ -12,6 +12,7 @@ from nightgrid.functions.species import is_unidentified
 from nightgrid.functions.times import bin_date
 from nightgrid.operators.clean import filter_identified
 from nightgrid.operators.condense import n_calls, n_calls_where
+from nightgrid.operators.grid import night_span
 from nightgrid.operators.reshape import completed, completed_hours, keep_top_n, rank_abundance
 from nightgrid.operators.summaries import first_detections
 
@@ -60,8 +61,7 @@ def cumulative_species(master: DataFrame, exclude_noid: bool = True) -> DataFram
     rows = _rows(derive_night(master), exclude_noid)
     nightly = rows.select("species", "Night").distinct()
     new = first_detections(nightly).groupBy("first_night").agg(F.count("*").alias("new"))
-    first = nightly.agg(F.min("Night")).scalar()
-    last = nightly.agg(F.max("Night")).scalar()
+    first, last = night_span(nightly)
     spine = master.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("Night"))
     joined = spine.join(new, spine["Night"] == new["first_night"], "left")
     running = F.sum(F.coalesce("new", F.lit(0))).over(

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightgrid import constants as K
-from nightgrid.functions.numbers import fixed, percent, round_nearest
+from nightgrid.functions.numbers import fixed, percent, round_columns, round_nearest
 
 
 def top_n_per_group(
@@ -106,16 +106,22 @@ def completed_hours(
     return spine.join(counts, [label, "Hour_local"], "left").na.fill(0, list(fill))
 
 
+def _rounded(df: DataFrame, name: str, digits: int | None) -> DataFrame:
+    """Round by name in a second step: rounding repeats its operand, and the operand
+    holds a window or a subquery."""
+    return df if digits is None else round_columns(df, {name: digits})
+
+
 def share_of_group(df: DataFrame, group: str, value: str, name: str, digits: int | None = 1) -> DataFrame:
     """value as a percentage of its group's sum.  For aggregated tables."""
     total = F.sum(value).over(Window.partitionBy(group))
-    return df.withColumn(name, percent(value, total, digits))
+    return _rounded(df.withColumn(name, percent(value, total, None)), name, digits)
 
 
 def share_of_total(df: DataFrame, value: str, name: str, digits: int | None = 1) -> DataFrame:
     """value as a percentage of the whole sum, which is a scalar subquery."""
     total = df.agg(F.sum(value)).scalar()
-    return df.withColumn(name, percent(value, total, digits))
+    return _rounded(df.withColumn(name, percent(value, total, None)), name, digits)
 
 
 def peak_flag(hourly: DataFrame) -> DataFrame:
