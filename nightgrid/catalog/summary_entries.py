@@ -9,6 +9,7 @@ from nightgrid.catalog.bases import (
     rounded, rr,
 )
 from nightgrid.catalog.registry import query
+from nightgrid.functions.times import hour_floor
 from nightgrid.operators import reshape, summaries
 from nightgrid.operators.chart_temporal import cumulative_calls_by_detector, cumulative_calls_study
 from nightgrid.operators.chart_detector import rolling_mean_rank
@@ -239,9 +240,8 @@ def _(spark, sf_dir):
 
 def hourly_copies(spark, sf_dir):
     """Detections cut to the hour, so that many share detector, hour and label."""
-    hour = F.date_trunc("hour", "DateTime_local").cast("timestamp_ntz")
     return detections(spark, sf_dir).select(
-        "event_id", "Detector", hour.alias("DateTime_local"), "auto_id", "pulses"
+        "event_id", "Detector", hour_floor("DateTime_local").alias("DateTime_local"), "auto_id", "pulses"
     )
 
 

@@ -11,59 +11,117 @@ from __future__ import annotations
 import functools
 import zoneinfo
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from nightgrid.constants import DATE_PATTERNS
 from nightgrid.functions.numbers import as_column
 
 _CLOCK = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"
-_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
-_YEAR_LAST = r"^(\d{1,2})-(\d{1,2})-(\d{4})([ T].*)?$"
 _MONTH_FIRST = (
     r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}:\d{1,2}(?::\d{1,2})?)\s*(?:[AaPp][Mm])?\s*$"
 )
+_UTC_NAMES = {"UTC", "Etc/UTC", "Z", "GMT", "Etc/GMT"}
 
 
-def parse_date(value, day_first: bool = False) -> Column:
-    """ISO, then month-day-year, then (if asked) day-month-year; else NULL.
+def dashed(value) -> Column:
+    """Date text with '-' for the separators '/' and '.'."""
+    text = F.trim(as_column(value))
+    return F.replace(F.replace(text, F.lit("/"), F.lit("-")), F.lit("."), F.lit("-"))
 
-    '-', '/' and '.' are accepted as separators and a time of day after the date
-    is ignored.
-    """
-    text = F.translate(F.trim(as_column(value)), "/.", "--")
 
-    def reordered(order: str) -> Column:
-        return F.when(text.rlike(_YEAR_LAST), F.regexp_replace(text, _YEAR_LAST, order))
+def parse_dashed(value, day_first: bool = False) -> Column:
+    """``parse_date`` of text that ``dashed`` has prepared.
 
+    The text is used many times here, so give it as a column of its own when it
+    comes from a large table.
+    """
+    text, dash = as_column(value), F.lit("-")
+    two = F.substring_index(text, "-", 2)
+    first, second = F.substring_index(text, "-", 1), F.substring_index(two, "-", -1)
+    rest = F.substring_index(text, "-", -1)
+    year = F.substring(rest, 1, 4)
+    three_parts = F.concat(two, dash, rest) == text
+    ends = (F.length(rest) == 4) | F.substring(rest, 5, 1).isin(" ", "T")
+    year_last = three_parts & ends
     candidates = [
-        F.when(text.rlike(_ISO_DATE), text).try_cast("date"),
-        reordered("$3-$1-$2").try_cast("date"),
+        F.when((F.substring(text, 5, 1) == "-") & (two != text), text).try_cast("date"),
+        F.when(year_last, F.concat(year, dash, first, dash, second)).try_cast("date"),
     ]
     if day_first:
-        candidates.append(reordered("$3-$2-$1").try_cast("date"))
+        candidates.append(
+            F.when(year_last, F.concat(year, dash, second, dash, first)).try_cast("date")
+        )
     return F.coalesce(*candidates)
 
 
+def parse_date(value, day_first: bool = False) -> Column:
+    """ISO, then month-day-year, then (if asked) day-month-year; else NULL.
+
+    '-', '/' and '.' are accepted as separators and a time of day after the date
+    is ignored.  No regular expressions: this runs on every detection.
+    """
+    return parse_dashed(dashed(value), day_first)
+
+
+def clock_or_null(value) -> Column:
+    """'H:M' or 'H:M:S' text, without a fraction; NULL for anything with a zone or half."""
+    text = F.substring_index(F.trim(as_column(value)), ".", 1)
+    digit_last = F.right(text, F.lit(1)).between("0", "9")
+    plain = text.contains(":") & ~text.contains("+") & ~text.contains("-") & digit_last
+    return F.when(plain, text)
+
+
+def join_utc(day, clock) -> Column:
+    return F.concat(as_column(day).cast("string"), F.lit(" "), as_column(clock)).try_cast(
+        "timestamp_ntz"
+    )
+
+
 def parse_utc(date_text, time_text) -> Column:
     """Combine date and time text into one wall-clock timestamp (assumed UTC)."""
-    clock = F.trim(as_column(time_text))
-    clock = F.when(clock.rlike(_CLOCK), F.substring_index(clock, ".", 1))
-    day = parse_date(date_text, day_first=True).cast("string")
-    return F.concat(day, F.lit(" "), clock).try_cast("timestamp_ntz")
+    return join_utc(parse_date(date_text, day_first=True), clock_or_null(time_text))
 
 
 def to_local(utc, timezone: str) -> Column:
+    """UTC wall clock to the wall clock of a zone.
+
+    ``convert_timezone`` looks both zones up for every row.  In a UTC session the
+    same comes from ``from_utc_timestamp``, which looks the zone up once.
+    """
     require_timezone(timezone)
+    session = SparkSession.getActiveSession()
+    if session and session.conf.get("spark.sql.session.timeZone") in _UTC_NAMES:
+        moment = as_column(utc).cast("timestamp")
+        return F.from_utc_timestamp(moment, timezone).cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), F.lit(timezone), as_column(utc))
 
 
+def _digits(timestamp) -> Column:
+    """'YYYY-MM-DD HH:MM:SS'.  Unlike ``date_format`` this needs no time zone."""
+    return as_column(timestamp).cast("timestamp_ntz").cast("string")
+
+
+def _date_digits(text: Column) -> Column:
+    slash = F.lit("/")
+    return F.concat(
+        F.substring(text, 6, 2), slash, F.substring(text, 9, 2), slash, F.substring(text, 1, 4)
+    )
+
+
 def clock_text(timestamp) -> Column:
-    return F.date_format(as_column(timestamp), "HH:mm:ss")
+    return F.substring(_digits(timestamp), 12, 8)
+
+
+def hour_floor(timestamp) -> Column:
+    moment = as_column(timestamp)
+    return F.timestamp_add("HOUR", F.hour(moment), F.to_date(moment).cast("timestamp_ntz"))
 
 
 def study_night(local_time, cutoff_hour: int = 18) -> Column:
     """Date of the evening a detection belongs to: before the cutoff, the day before."""
-    return F.to_date(as_column(local_time) - F.expr(f"INTERVAL {int(cutoff_hour)} HOURS"))
+    moment = as_column(local_time)
+    day = F.to_date(moment)
+    return F.when(F.hour(moment) < cutoff_hour, F.date_sub(day, 1)).otherwise(day)
 
 
 def parse_month_first(value) -> Column:
@@ -127,19 +185,24 @@ def schedule_texts(night, start_clock, end_clock) -> tuple[Column, Column]:
 
     def stamp(day, clock):
         joined = F.concat(day.cast("string"), F.lit(" "), clock)
-        return F.date_format(joined.try_cast("timestamp_ntz"), "MM/dd/yyyy hh:mm:ss a")
+        moment = joined.try_cast("timestamp_ntz")
+        text, hour = _digits(moment), F.hour(moment)
+        twelve = F.lpad(((hour + 11) % 12 + 1).cast("string"), 2, "0")
+        half = F.when(hour < 12, " AM").otherwise(" PM")
+        return F.concat(_date_digits(text), F.lit(" "), twelve, F.substring(text, 14, 6), half)
 
     return stamp(night, start), F.when(start.isNotNull(), stamp(last_day, end))
 
 
 def export_text(timestamp) -> Column:
-    return F.date_format(as_column(timestamp), "MM/dd/yyyy HH:mm:ss")
+    text = _digits(timestamp)
+    return F.concat(_date_digits(text), F.lit(" "), F.substring(text, 12, 8))
 
 
 def log_text(timestamp) -> Column:
-    return F.coalesce(
-        F.date_format(as_column(timestamp), "MM/dd/yyyy HH:mm"), F.lit("<blank>")
-    )
+    text = _digits(timestamp)
+    shown = F.concat(_date_digits(text), F.lit(" "), F.substring(text, 12, 5))
+    return F.coalesce(shown, F.lit("<blank>"))
 
 
 def week_floor(day, week_start: str = "sunday") -> Column:

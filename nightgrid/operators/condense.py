@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from nightgrid.functions.times import hour_floor
+
 WEIGHT = "_weight"
 GRAIN = ("Detector", "auto_id", "species", "Night", "DateTime_local", "Hour_local")
 
 
 def condense(master: DataFrame) -> DataFrame:
     """Detections counted by detector, label, night and clock hour."""
-    hour = F.date_trunc("hour", "DateTime_local").cast("timestamp_ntz")
-    rows = master.select(*GRAIN).withColumn("DateTime_local", hour)
+    rows = master.select(*GRAIN).withColumn("DateTime_local", hour_floor("DateTime_local"))
     return rows.groupBy(*GRAIN).agg(F.count("*").alias(WEIGHT))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from nightgrid import constants as K
 from nightgrid.functions.numbers import percent
-from nightgrid.functions.times import matching_date_patterns, parse_date
+from nightgrid.functions.times import dashed, matching_date_patterns, parse_dashed
 from nightgrid.operators.mapping import distinct_values
 from nightgrid.operators.reshape import rows_in_group, share_of_total
 
@@ -83,8 +83,11 @@ def date_format_profile(df: DataFrame, column: str, n_sample: int = 3) -> DataFr
 def infer_study_span(df: DataFrame) -> DataFrame:
     """First and last raw date and the number of detector ids, one row."""
     ids = distinct_values(df, "detector_id").agg(F.count("*")).scalar()
-    day = parse_date("date", day_first=True)
-    return df.agg(F.min(day).alias("start_date"), F.max(day).alias("end_date")).withColumn(
+    days = df.select(dashed("date").alias("text")).select(
+        parse_dashed("text", day_first=True).alias("day")
+    )
+    day = F.col("day")
+    return days.agg(F.min(day).alias("start_date"), F.max(day).alias("end_date")).withColumn(
         "n_detector_ids", ids
     )
 

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nightgrid.config import StudyConfig
 from nightgrid.functions.species import unified_species
-from nightgrid.functions.times import clock_text, parse_utc, study_night, to_local
+from nightgrid.functions.times import (
+    clock_or_null, clock_text, dashed, join_utc, parse_dashed, study_night, to_local,
+)
 from nightgrid.operators import clean, edits, grid, mapping, summaries
 from nightgrid.operators.condense import condense
 from nightgrid.operators.schema import enforce_types, final_column_select, unify_schema
@@ -22,8 +24,13 @@ from nightgrid.sources.snapshots import read_latest_snapshot, write_snapshot
 
 
 def localize(df: DataFrame, timezone: str, date: str = "date", time: str = "time") -> DataFrame:
-    """Five time columns from UTC date and time text."""
-    df = df.withColumn("DateTime_UTC", parse_utc(date, time))
+    """Five time columns from UTC date and time text.
+
+    In steps, each on the column of the one before, so that nothing is parsed twice.
+    """
+    df = df.withColumns({"_day": dashed(date), "_clock": clock_or_null(time)})
+    df = df.withColumn("_day", parse_dashed("_day", day_first=True))
+    df = df.withColumn("DateTime_UTC", join_utc("_day", "_clock")).drop("_day", "_clock")
     df = df.withColumn("DateTime_local", to_local("DateTime_UTC", timezone))
     return df.withColumns(
         {

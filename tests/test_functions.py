@@ -47,11 +47,12 @@ def test_percent_of_nothing_is_null(spark):
 
 def test_parse_date_orders_and_failures(spark):
     texts = ["2025-10-04", "10/4/2025", "10/04/2025", "25/12/2025", "junk", "", None,
-             "2025/10/04", "2025-10-04 12:30:00", "2025-02-30", "2025-10", "2025", "4.10.2025"]
+             "2025/10/04", "2025-10-04 12:30:00", "2025-02-30", "2025-10", "2025", "4.10.2025",
+             "10/4/2025 18:00", "10-4-5-2025", "10/4/20256", " 2025-10-4 ", "10-2025", "a-b-2025"]
     oct4, christmas = dt.date(2025, 10, 4), dt.date(2025, 12, 25)
     found = each(spark, texts, lambda c: times.parse_date(c, day_first=True))
     assert found == [oct4, oct4, oct4, christmas, None, None, None, oct4, oct4, None, None, None,
-                     dt.date(2025, 4, 10)]
+                     dt.date(2025, 4, 10), oct4, None, None, oct4, None, None]
     assert each(spark, ["25/12/2025"], times.parse_date) == [None]
 
 
@@ -69,6 +70,37 @@ def test_local_time_over_the_end_of_dst(spark):
     assert found[3] == dt.datetime(2025, 11, 2, 1, 5)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Chicago", "Asia/Kolkata"])
+def test_wall_clock_does_not_depend_on_the_session(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # 02:30 does not exist in Chicago on 2025-03-09.
+        df = spark.sql("SELECT timestamp_ntz'2025-03-09 02:30:15' AS t")
+        local = times.to_local("t", "America/New_York")
+        found = df.select(
+            local.cast("string"), times.clock_text("t"), times.export_text("t"), times.log_text("t"),
+            times.hour_floor("t").cast("string"), times.study_night("t").cast("string"),
+            times.parse_month_first(F.lit("3/9/2025 2:30:15 AM")).cast("string"),
+            times.schedule_texts(F.lit("2025-03-09").cast("date"), F.lit("02:30:00"), F.lit("13:05:00"))[0],
+        ).first()
+        assert list(found) == [
+            "2025-03-08 21:30:15", "02:30:15", "03/09/2025 02:30:15", "03/09/2025 02:30",
+            "2025-03-09 02:00:00", "2025-03-08", "2025-03-09 02:30:15", "03/09/2025 02:30:00 AM"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize(
+    "text, ok",
+    [("6:5", True), ("06:05:09", True), ("06:05:09.75", True), ("06:05:09 PM", False), ("06", False),
+     ("6:", False), ("24:00:00", False), ("06:05Z", False), ("", False), (" 06:05 ", True)],
+)
+def test_clock_texts_in_utc_parsing(spark, text, ok):
+    df = spark.createDataFrame([("2025-10-04", text)], "d string, t string")
+    assert (df.select(times.parse_utc("d", "t")).first()[0] is not None) == ok
+
+
 def test_unknown_timezone_is_an_error():
     assert times.is_valid_timezone("America/Chicago")
     with pytest.raises(ValueError):
