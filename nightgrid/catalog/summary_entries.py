@@ -198,12 +198,12 @@ def _(spark, sf_dir):
 @query(
     "share_of_group",
     on_master(f"""
-    SELECT species, Detector, n_calls, {pct('n_calls', 'SUM(n_calls) OVER (PARTITION BY species)')} AS pct
-    FROM (SELECT Detector, species, COUNT(*) AS n_calls FROM master GROUP BY ALL)"""),
+    SELECT Detector, Night, n_calls, {pct('n_calls', 'SUM(n_calls) OVER (PARTITION BY Detector)')} AS pct
+    FROM (SELECT Detector, Night, COUNT(*) AS n_calls FROM master GROUP BY ALL)"""),
 )
 def _(spark, sf_dir):
-    counts = master(spark, sf_dir).groupBy("species", "Detector").agg(F.count("*").alias("n_calls"))
-    return reshape.share_of_group(counts, "species", "n_calls", "pct")
+    counts = master(spark, sf_dir).groupBy("Detector", "Night").agg(F.count("*").alias("n_calls"))
+    return reshape.share_of_group(counts, "Detector", "n_calls", "pct")
 
 
 @query(

@@ -96,14 +96,17 @@ def mapping_quality(df: DataFrame, names: DataFrame) -> DataFrame:
     """Per raw id: its name, detections, and whether the name is a placeholder or shared."""
     per_id = df.groupBy("detector_id").agg(F.count("*").alias("total_detections"))
     joined = per_id.join(names.select("detector_id", "Detector"), "detector_id", "left")
-    same = F.count("*").over(Window.partitionBy("Detector"))
+    same = joined.where(F.col("Detector").isNotNull()).groupBy("Detector").agg(
+        F.count("*").alias("_same")
+    )
+    joined = joined.join(same, "Detector", "left")
     placeholder = F.coalesce(F.col("Detector") == K.NAME_PLACEHOLDER, F.lit(False))
     named = F.col("Detector").isNotNull() & ~placeholder
     return joined.select(
         "detector_id", "Detector", "total_detections",
         named.alias("mapped"),
         placeholder.alias("is_placeholder"),
-        (named & (same > 1)).alias("duplicate_name"),
+        (named & (F.col("_same") > 1)).alias("duplicate_name"),
     )
 
 

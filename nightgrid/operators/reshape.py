@@ -113,7 +113,10 @@ def _rounded(df: DataFrame, name: str, digits: int | None) -> DataFrame:
 
 
 def share_of_group(df: DataFrame, group: str, value: str, name: str, digits: int | None = 1) -> DataFrame:
-    """value as a percentage of its group's sum.  For aggregated tables."""
+    """value as a percentage of its group's sum.
+
+    For aggregated tables whose groups are bounded, such as the nights of a detector.
+    """
     total = F.sum(value).over(Window.partitionBy(group))
     return _rounded(df.withColumn(name, percent(value, total, None)), name, digits)
 
