@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from nightgrid.llm.decontamination import OP5_SQL, op5_decontamination
+from nightgrid.llm.simhash import op1_simhash_near_dedup
 from nightgrid.llm.token_counts import op9_token_counts
 from nightgrid.llm.url_filter import OP8_SQL, op8_url_filters
 
-QUERIES = {"op8_url_filters": op8_url_filters, "op9_token_counts": op9_token_counts}
-SQL = {"op8_url_filters": OP8_SQL}
+QUERIES = {"op1_simhash_near_dedup": op1_simhash_near_dedup, "op5_decontamination": op5_decontamination, "op8_url_filters": op8_url_filters, "op9_token_counts": op9_token_counts}
+SQL = {"op5_decontamination": OP5_SQL, "op8_url_filters": OP8_SQL}
