@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from nightgrid.llm.bpe import op2_bpe
 from nightgrid.llm.decontamination import OP5_SQL, op5_decontamination
 from nightgrid.llm.language_id import op6_language_id
 from nightgrid.llm.pii import op7_pii
@@ -10,5 +11,5 @@ from nightgrid.llm.simhash import op1_simhash_near_dedup
 from nightgrid.llm.token_counts import op9_token_counts
 from nightgrid.llm.url_filter import OP8_SQL, op8_url_filters
 
-QUERIES = {"op6_language_id": op6_language_id, "op7_pii": op7_pii, "op4_quality_rules": op4_quality_rules, "op1_simhash_near_dedup": op1_simhash_near_dedup, "op5_decontamination": op5_decontamination, "op8_url_filters": op8_url_filters, "op9_token_counts": op9_token_counts}
+QUERIES = {"op2_bpe": op2_bpe, "op6_language_id": op6_language_id, "op7_pii": op7_pii, "op4_quality_rules": op4_quality_rules, "op1_simhash_near_dedup": op1_simhash_near_dedup, "op5_decontamination": op5_decontamination, "op8_url_filters": op8_url_filters, "op9_token_counts": op9_token_counts}
 SQL = {"op4_quality_rules": OP4_SQL, "op5_decontamination": OP5_SQL, "op8_url_filters": OP8_SQL}
