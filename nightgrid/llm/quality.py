@@ -16,7 +16,7 @@ REPEAT_PERCENT = 50
 #: A document must keep this percentage of its line characters.
 KEEP_PERCENT = 50
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 #: A line is noise when more than this percentage of its characters are symbols.
 SYMBOL_PERCENT = 10
 #: ... or shouting, when it has so many capitals in percent of its characters ...
@@ -36,14 +36,15 @@ BOILERPLATE = (
     r"|tous droits|politique de confidentialit|mentions l.?gales|cliquez ici|lire la suite"
     r"|todos los derechos|pol.?tica de privacidad|aviso legal|haga clic|leer m.?s)"
 )
-_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_CAPITALS = "[A-Z]"
 _SPACES = " \t\n\x0b\f\r"
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def _count_of(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    """How many characters of a class a text has."""
+    return F.length(text) - F.length(F.regexp_replace(text, chars, ""))
 
 
 def line_passes(line: Column) -> Column:
@@ -65,45 +66,56 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     it has no words and so fails the base rule.  Columns of the result's names are replaced.
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    bare = F.trim(F.col("_whole"), F.lit(_SPACES))
-    lines = F.filter(F.split("_whole", "\n"), lambda line: line.rlike(WORD))
+    bare = F.trim(F.col("__llm_whole"), F.lit(_SPACES))
+    lines = F.filter(F.split("__llm_whole", "\n"), lambda line: line.rlike(WORD))
     words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE + "+"))
     # Each select names what the next one uses more than once, so nothing is computed twice.
-    step = replaced(docs, {"_whole": whole})
-    step = replaced(step, {
-        "_hashes": F.transform(words, lambda w: F.xxhash64(w)), "_lines": lines,
-    })
+    step = replaced(docs, {"__llm_whole": whole})
+    step = replaced(step, {"__llm_words": words, "__llm_lines": lines})
+    step = replaced(step, {"__llm_hashes": F.transform("__llm_words", lambda w: F.xxhash64(w)), "__llm_passing": F.filter("__llm_lines", line_passes)})
     windows = F.transform(
-        F.slice("_hashes", 1, F.greatest(F.size("_hashes") - 2, F.lit(0))),
-        lambda h, i: F.struct(
-            F.xxhash64(h, F.get("_hashes", i + 1), F.get("_hashes", i + 2)).alias("h"), i.alias("i")
-        ),
+        F.slice("__llm_hashes", 1, F.greatest(F.size("__llm_hashes") - 2, F.lit(0))),
+        lambda h, i: F.xxhash64(h, F.get("__llm_hashes", i + 1), F.get("__llm_hashes", i + 2)),
     )
-    step = replaced(step, {"_sorted": F.array_sort(windows), "_passing": F.filter("_lines", line_passes)})
+    # Of a sorted number the high bits are a window's hash and the low ones its place, so
+    # windows sort as plain numbers; equal high bits are checked by the whole hashes.
+    place_bits = F.ceil(F.log2(F.size("__llm_hashes") + F.lit(2.0))).cast("int")
+    step = replaced(step, {
+        "__llm_windows": windows, "__llm_mask": F.call_function("shiftleft", F.lit(-1).cast("long"), place_bits),
+    })
+    marked = F.transform("__llm_windows", lambda h, i: h.bitwiseAND(F.col("__llm_mask")).bitwiseOR(i.cast("long")))
+    step = replaced(step, {"__llm_sorted": F.sort_array(marked)})
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.bitwise_not("__llm_mask")).cast("int")
+
+    def equal(x: Column, other: Column) -> Column:
+        near = x.bitwiseXOR(other).bitwiseAND(F.col("__llm_mask")) == 0
+        same = F.get("__llm_windows", place(x)) == F.get("__llm_windows", place(other))
+        return F.coalesce(near & same, F.lit(False))
+
     repeated = F.transform(
-        "_sorted",
-        lambda w, k: F.when(
-            F.coalesce(F.get("_sorted", k + 1)["h"] == w["h"], F.lit(False))
-            | F.coalesce(F.get("_sorted", k - 1)["h"] == w["h"], F.lit(False)),
-            w["i"],
-        ),
+        "__llm_sorted",
+        lambda w, k: F.when(equal(w, F.get("__llm_sorted", k + 1)) | equal(w, F.get("__llm_sorted", k - 1)), place(w)),
     )
-    step = replaced(step, {"_places": F.array_sort(F.array_compact(repeated))})
+    step = replaced(step, {"__llm_places": F.sort_array(F.array_compact(repeated))})
     covered = F.aggregate(
-        F.transform("_places", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_places", k + 1) - p, F.lit(3)))),
+        F.transform("__llm_places", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("__llm_places", k + 1) - p, F.lit(3)))),
         F.lit(0).cast("long"), lambda total, n: total + n,
     )
-    n_words = F.size("_hashes").cast("long")
+    n_words = F.size("__llm_hashes").cast("long")
     step = replaced(step, {
         "n_words": n_words,
-        "word_chars": F.length(F.translate("_whole", _SPACES, "")).cast("long"),
-        "n_symbols": _count_of(F.col("_whole"), SYMBOLS).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "word_chars": F.length(F.array_join("__llm_words", "")).cast("long"),
+        "n_symbols": _count_of(F.col("__llm_whole"), SYMBOLS).cast("long"),
+        "n_dup_lines": (F.size("__llm_lines") - F.size(F.array_distinct("__llm_lines"))).cast("long"),
         "n_repeat_words": covered,
-        "cleaned": F.array_join("_passing", "\n"),
-        "kept_chars": F.length(F.array_join("_passing", "")).cast("long"),
-        "line_chars": F.length(F.array_join("_lines", "")).cast("long"),
-    }).drop("_whole", "_hashes", "_lines", "_sorted", "_passing", "_places")
+        "cleaned": F.array_join("__llm_passing", "\n"),
+        "kept_chars": F.length(F.array_join("__llm_passing", "")).cast("long"),
+        "line_chars": F.length(F.array_join("__llm_lines", "")).cast("long"),
+    }).drop(
+        "__llm_whole", "__llm_words", "__llm_hashes", "__llm_windows", "__llm_mask", "__llm_sorted", "__llm_places", "__llm_lines", "__llm_passing"
+    )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     kept = ~failed & (100 * F.col("kept_chars") >= KEEP_PERCENT * F.col("line_chars"))
     return replaced(step, {"base_failed": failed, "kept": kept})
@@ -119,7 +131,7 @@ def _sql(pattern: str) -> str:
 
 
 def _count_sql(text: str, chars: str) -> str:
-    return f"(length({text}) - length(translate({text}, '{chars}', '')))"
+    return f"(length({text}) - length(regexp_replace({text}, '{chars}', '', 'g')))"
 
 
 _SPACES_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
