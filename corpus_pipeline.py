@@ -33,14 +33,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     judged each by itself, and rows equal in both leave one.
     """
     ship_package(spark)
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
-    place = F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", "_hash")
-    grouped = similar_documents(marked.select(place.alias("_row"), "text"), key="_row")
-    firsts = grouped.where(F.col("_row").eqNullSafe(F.col("component_id"))).select(
-        F.col("_row._hash").alias("_first"), F.col("_row.doc_id").alias("_id")
+    marked = docs.withColumn("__llm_hash", F.xxhash64("text"))
+    place = F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", "__llm_hash")
+    grouped = similar_documents(marked.select(place.alias("__llm_row"), "text"), key="__llm_row")
+    firsts = grouped.where(F.col("__llm_row").eqNullSafe(F.col("component_id"))).select(
+        F.col("__llm_row.__llm_hash").alias("__llm_first"), F.col("__llm_row.doc_id").alias("__llm_id")
     ).distinct()
-    same = (F.col("_hash") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return marked.join(firsts, same, "left_semi").dropDuplicates(["_hash", "doc_id"]).select(COLUMNS)
+    same = (F.col("__llm_hash") == F.col("__llm_first")) & F.col("doc_id").eqNullSafe(F.col("__llm_id"))
+    return marked.join(firsts, same, "left_semi").dropDuplicates(["__llm_hash", "doc_id"]).select(COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

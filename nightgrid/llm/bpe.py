@@ -286,10 +286,10 @@ def encode_documents(
 
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     if share:
-        docs = replaced(docs, {"_route": _route(whole)}).hint("rebalance", "_route").drop("_route")
-    found = replaced(docs, {"_coded": encode(whole)})
+        docs = replaced(docs, {"__llm_route": _route(whole)}).hint("rebalance", "__llm_route").drop("__llm_route")
+    found = replaced(docs, {"__llm_coded": encode(whole)})
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["token_ids", "decoded"] if ids else [])
-    return replaced(found, {name: F.col(f"_coded.{name}") for name in names}).drop("_coded")
+    return replaced(found, {name: F.col(f"__llm_coded.{name}") for name in names}).drop("__llm_coded")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -251,28 +251,28 @@ def find_contamination(
         light = windows._replace(shingles={}, members=[])
         scans.append(_scanner(spark.sparkContext.broadcast((light, prefixes))))
     if len(scans) == 1:
-        found = replaced(docs, {"_found": scans[0](whole)})
+        found = replaced(docs, {"__llm_found": scans[0](whole)})
     else:
         found = _several_rounds(docs, whole, scans)
-    spans = F.col("_found.spans")
+    spans = F.col("__llm_found.spans")
     n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return replaced(
         found,
-        {"n_words": F.col("_found.n_words"), "hit_spans": spans, "n_hit": n_hit, "items": F.col("_found.items")},
-    ).drop("_found")
+        {"n_words": F.col("__llm_found.n_words"), "hit_spans": spans, "n_hit": n_hit, "items": F.col("__llm_found.items")},
+    ).drop("__llm_found")
 
 
 def _several_rounds(docs: DataFrame, whole: Column, scans: list) -> DataFrame:
     """One scan per block of items; what they find in equal texts is put together."""
-    texts = docs.select(F.sha2(whole, 256).alias("_text"), whole.alias("whole"))
+    texts = docs.select(F.sha2(whole, 256).alias("__llm_text"), whole.alias("whole"))
     parts = [
-        written(texts.select("_text", scan(F.col("whole")).alias("found")).dropDuplicates(["_text"]), "round")
+        written(texts.select("__llm_text", scan(F.col("whole")).alias("found")).dropDuplicates(["__llm_text"]), "round")
         for scan in scans
     ]
     rounds = parts[0]
     for part in parts[1:]:
         rounds = rounds.unionByName(part)
-    merged = rounds.groupBy("_text").agg(
+    merged = rounds.groupBy("__llm_text").agg(
         F.max("found.n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("found.spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("found.items")))).alias("items"),
@@ -291,9 +291,9 @@ def _several_rounds(docs: DataFrame, whole: Column, scans: list) -> DataFrame:
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
-    merged = merged.select("_text", F.struct("n_words", joined.alias("spans"), "items").alias("_found"))
-    keyed = replaced(docs, {"_text": F.sha2(whole, 256)})
-    return keyed.join(merged, "_text").drop("_text")
+    merged = merged.select("__llm_text", F.struct("n_words", joined.alias("spans"), "items").alias("__llm_found"))
+    keyed = replaced(docs, {"__llm_text": F.sha2(whole, 256)}).drop("__llm_found")
+    return keyed.join(merged, "__llm_text").drop("__llm_text")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

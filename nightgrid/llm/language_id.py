@@ -103,11 +103,11 @@ def identify(
                 ["lang", "score"],
             )
 
-    found = replaced(docs, {"_found": predict(F.col(text).cast("string"))})
-    lang, score = F.col("_found.lang"), F.col("_found.score")
+    found = replaced(docs, {"__llm_found": predict(F.col(text).cast("string"))})
+    lang, score = F.col("__llm_found.lang"), F.col("__llm_found.score")
     return replaced(
         found, {"lang_pred": lang, "score": score, "rejected": (lang == UNKNOWN) | (score < least_margin)}
-    ).drop("_found")
+    ).drop("__llm_found")
 
 
 def held_out(key: str = "doc_id"):

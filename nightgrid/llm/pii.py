@@ -246,9 +246,9 @@ def fit_finder(docs: DataFrame, text: str = "text") -> Finder:
     # Partition and place don't matter to the hash; equal rows are in or out together.
     share = SAMPLE_DOCUMENTS / max(docs.count(), 1)
     simple = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
-    sample = docs.select(F.xxhash64(*simple).alias("_h"), whole.alias("t"))
+    sample = docs.select(F.xxhash64(*simple).alias("__llm_h"), whole.alias("t"))
     if share < 1:
-        sample = sample.where(F.pmod("_h", F.lit(1_000_003)) < int(share * 1_000_003))
+        sample = sample.where(F.pmod("__llm_h", F.lit(1_000_003)) < int(share * 1_000_003))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,11 +318,11 @@ def find_pii(docs: DataFrame, text: str = "text", finder: Finder | None = None,
                 arrays, names = [*arrays, pa.array(clean, pa.string())], [*names, "redacted"]
             yield pa.StructArray.from_arrays(arrays, names)
 
-    found = replaced(docs, {"_pii": find(F.col(text).cast("string"))})
-    columns = {"base_spans": F.col("_pii.base"), "spans": F.col("_pii.all")}
+    found = replaced(docs, {"__llm_pii": find(F.col(text).cast("string"))})
+    columns = {"base_spans": F.col("__llm_pii.base"), "spans": F.col("__llm_pii.all")}
     if redact:
-        columns["redacted"] = F.col("_pii.redacted")
-    return replaced(found, columns).drop("_pii")
+        columns["redacted"] = F.col("__llm_pii.redacted")
+    return replaced(found, columns).drop("__llm_pii")
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -257,8 +257,8 @@ def search_groups(rows: DataFrame, distance: int, same_bits: int | None = None)
                     [pa.array(node[linked]), pa.array(node[root[linked]])], ["node", "root"]
                 )
 
-    sorted_rows = rows.withColumn("_rank", _sort_code(F.col("code"))).repartition("key").sortWithinPartitions("key", "_rank")
-    return sorted_rows.drop("_rank").mapInArrow(search, "node bigint, root bigint")
+    sorted_rows = rows.withColumn("__llm_rank", _sort_code(F.col("code"))).repartition("key").sortWithinPartitions("key", "__llm_rank")
+    return sorted_rows.drop("__llm_rank").mapInArrow(search, "node bigint, root bigint")
 
 
 def components(links: DataFrame) -> DataFrame:

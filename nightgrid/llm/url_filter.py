@@ -94,7 +94,7 @@ def _strength(counts: DataFrame, mean: float) -> float:
     """Pseudo-counts of the prior, by moments: groups (n, bad) around ``mean``."""
     row = counts.where("n > 0").agg(
         F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"),
-        F.sum(F.pow(F.col("bad") - F.col("n") * F.lit(mean), F.lit(2)) / F.col("n")).alias("spread"),
+        F.sum(F.try_divide(F.pow(F.col("bad") - F.col("n") * F.lit(mean), F.lit(2)), F.col("n"))).alias("spread"),
     ).first()
     k, n, nn = row.k or 0, row.n or 0, row.nn or 0
     over = n - nn / n - (k - 1) if n else 0
@@ -164,13 +164,13 @@ def filter_urls(
         )
     counts = written(seen.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "hosts")
     blocked = host_reputation(counts, two_label).where(F.col("lower") > bad_rate).select(
-        F.col("host").alias("_bad_host")
+        F.col("host").alias("__llm_bad_host")
     )
-    judged = replaced(parsed, {"_fit": fit}).join(blocked, F.col("host") == F.col("_bad_host"), "left")
-    by_host = F.when(F.col("_bad_host").isNotNull(), "block").otherwise("allow")
+    judged = replaced(parsed, {"__llm_fit": fit}).join(blocked, F.col("host") == F.col("__llm_bad_host"), "left")
+    by_host = F.when(F.col("__llm_bad_host").isNotNull(), "block").otherwise("allow")
     return replaced(
-        judged, {"rule": F.col("_fit.rule"), "verdict": F.coalesce(F.col("_fit.verdict"), by_host)}
-    ).drop("_fit", "_bad_host")
+        judged, {"rule": F.col("__llm_fit.rule"), "verdict": F.coalesce(F.col("__llm_fit.verdict"), by_host)}
+    ).drop("__llm_fit", "__llm_bad_host")
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,11 +178,11 @@ def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
     Bad is low quality or toxic text.  Of repeated labels of a document the worst counts.
     """
-    worst = labels.groupBy(F.col("doc_id").cast("string").alias("_doc")).agg(
+    worst = labels.groupBy(F.col("doc_id").cast("string").alias("__llm_doc")).agg(
         F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad")
     )
     doc = F.regexp_extract(path_of(F.col("url")), r"^/[^/]+/([0-9]+)", 1)
-    return pages.select("url", doc.alias("_doc")).join(worst, "_doc").select("url", "bad")
+    return pages.select("url", doc.alias("__llm_doc")).join(worst, "__llm_doc").select("url", "bad")
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,8 +30,8 @@ from pyspark.sql.datasource import (
 
 from nightgrid.llm.common import new_path, table
 
-#: A file is closed beyond this size; a reading task takes files up to the same sum.
-FILE_BYTES = 128 << 20
+#: A file is closed beyond this size; a reading task takes one file, or small ones up to this sum.
+FILE_BYTES, TASK_BYTES = 128 << 20, 8 << 20
 #: Payload bytes and records that a reading task holds.
 BATCH_BYTES, BATCH_RECORDS = 8 << 20, 2_000
 READ_BYTES = 1 << 20
@@ -354,13 +354,15 @@ class Files(InputPartition):
 
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict, schema):
-        self.options, self.columns = dict(options), schema.names
+        self.path, self.columns = options["path"], schema.names
         self.payload = options.get("payload", "true").lower() == "true"
+        self.limit = int(options.get("partitionBytes") or TASK_BYTES)
         self.filters: list[Filter] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for test in filters:
-            text = all(isinstance(v, str) for v in (getattr(test, "value", ""),) if not isinstance(v, tuple))
+            value = getattr(test, "value", "")
+            text = all(isinstance(v, str) for v in ([value] if isinstance(value, str) or not hasattr(value, "__iter__") else value))
             if isinstance(test, (EqualTo, In, IsNotNull, StringStartsWith)) and test.attribute[0] in HEADER_OF and text:
                 self.filters.append(test)
             else:
@@ -370,7 +372,7 @@ class WarcReader(DataSourceReader):
         """Files largest first, each to a task with room for it."""
         from pyarrow import fs
 
-        store, root = _filesystem(self.options["path"])
+        store, root = _filesystem(self.path)
         info = store.get_file_info(root)
         found = [info] if info.is_file else store.get_file_info(fs.FileSelector(root, recursive=True))
         files = sorted(
@@ -378,13 +380,12 @@ class WarcReader(DataSourceReader):
              if f.is_file and re.search(r"\.warc(\.gz)?$", f.path) and "/_" not in f.path[len(root) :]),
             reverse=True,
         )
-        limit = int(self.options.get("partitionBytes") or FILE_BYTES)
         tasks: list[Files] = []
         room = 0
         for size, path in files:
             if not tasks or size > room:
                 tasks.append(Files([]))
-                room = limit
+                room = self.limit
             tasks[-1].paths.append(path)
             room -= size
         return tasks or [Files([])]
@@ -394,7 +395,7 @@ class WarcReader(DataSourceReader):
             (c, pa.int64() if c == "payload_length" else pa.binary() if c == "payload" else pa.bool_() if c == "digest_ok" else pa.string())
             for c in self.columns
         ])
-        store, _ = _filesystem(self.options["path"])
+        store, _ = _filesystem(self.path)
         rows, held = [], 0
         for path in partition.paths:
             for row in read_records(store, path, self.filters, self.payload):

@@ -1,0 +1,172 @@
+"""Contamination, quality, urls, languages and personal data."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from nightgrid.llm import boosting, decontamination, language_id, pii, quality, url_filter
+from tests.llm.conftest import ITEM
+
+
+def test_contamination_of_odd_rows(spark, odd_dir):
+    got = {r.doc_id: r for r in decontamination.op5_decontamination(spark, odd_dir).where("doc_id IS NOT NULL").collect()}
+    items = {r.doc_id: r["items"] for r in decontamination.find_contamination(
+        spark.read.parquet(f"{odd_dir}/documents.parquet"), spark.read.parquet(f"{odd_dir}/benchmark.parquet")).collect()}
+    assert items[12] == ["i10", "i2"] and got[12].n_hit == 12 and got[13].n_hit == 24
+    assert items[4] == ["short"] and items[15] == [""] and not got[0].contaminated and got[0].n_words == 0
+
+
+def test_rounds_of_items_give_the_same(spark, odd_dir, monkeypatch):
+    docs, items = (spark.read.parquet(f"{odd_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    columns = ["doc_id", "n_words", "n_hit", "hit_spans", "items"]
+    once = sorted(map(repr, decontamination.find_contamination(docs, items).select(columns).collect()))
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 5)
+    assert sorted(map(repr, decontamination.find_contamination(docs, items).select(columns).collect())) == once
+
+
+def test_windows_do_not_cross_texts(spark):
+    words = ITEM.split()
+    docs = spark.createDataFrame([(1, " ".join(words[:6])), (2, " ".join(words[6:])), (3, ITEM)], "doc_id long, text string")
+    items = spark.createDataFrame([("a", ITEM)], "item_id string, text string")
+    got = {r.doc_id: r.n_hit for r in decontamination.find_contamination(docs, items).collect()}
+    assert got == {1: 0, 2: 0, 3: 12}
+
+
+def test_lines_are_cleaned_first(spark):
+    good = "\n".join(f"Line {k} is a plain sentence {k} with text {k}." for k in range(12))
+    rows = [
+        (1, good + "\nHome | About | Contact | Login\nMenu\nAll rights reserved."), (2, "\n".join(["Home | About | Contact | Login " + str(k) for k in range(12)])),
+        (3, None), (4, "\n".join(f"BUY NOW {k} AND SAVE!!! REALLY CHEAP" for k in range(12))),
+    ]
+    found = {r.doc_id: r for r in quality.clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1].cleaned == good and found[1].kept
+    assert not found[2].kept and not found[4].kept and found[2].cleaned == ""
+    assert found[3].base_failed and not found[3].kept and found[3].n_words == 0
+
+
+def test_quality_stays_in_the_jvm(spark, sf_dir):
+    plan = quality.op4_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_rules_and_hosts(spark, odd_dir):
+    got = {(r.page_id, r.host, r.path): (r.rule, r.verdict) for r in url_filter.op8_url_filters(spark, odd_dir).collect()}
+    assert got[2, "a.example.com", "/en/3"] == ("example.com/en/", "block")
+    assert got[4, "www.example.com", "/en/"] == ("www.example.com/en/", "allow")
+    assert got[3, "b.net", ""][0] is None and got[0, "", ""][0] is None
+    assert got[6, "u@h.example.com:80", "/es/1"][0] is None
+
+
+def test_reputation_shrinks_to_the_domain(spark):
+    bad = [("bad.test", 1, 1)] + [(f"h{k}.bad.test", 5, 5) for k in range(6)]
+    good = [(f"h{k}.good.test", 40, k % 2) for k in range(6)] + [("new.bad.test", 0, 0), ("new.good.test", 0, 0)]
+    counts = spark.createDataFrame(bad + good, "host string, n int, bad int")
+    rate = {r.host: r for r in url_filter.host_reputation(counts).collect()}
+    assert rate["new.bad.test"].rate > 0.5 > 0.1 > rate["new.good.test"].rate
+    assert rate["h1.bad.test"].lower > url_filter.BAD_RATE
+    assert all(r.rate == 0 for r in url_filter.host_reputation(counts.withColumns({"n": F.lit(0), "bad": F.lit(0)})).collect())
+
+
+def test_urls_without_labels_or_rules(spark, odd_dir):
+    pages = spark.read.parquet(f"{odd_dir}/pages.parquet").withColumn("verdict", F.lit("old"))
+    got = url_filter.filter_urls(pages, rules=[])
+    assert {r.verdict for r in got.collect()} == {"allow"} and got.columns.count("verdict") == 1
+
+
+def test_language_of_held_out_texts(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    found = language_id.op6_language_id(spark, sf_dir).join(docs, "doc_id").where("held_out AND lang IS NOT NULL")
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("x")).first().x
+    assert right >= 0.98
+
+
+def test_unknown_languages(spark):
+    known = [("en", b"the quick brown fox and the lazy dog of the house " * 20), ("de", b"der schnelle braune fuchs und die katze " * 20)]
+    rows = [(1, None), (2, "123 ... ½"), (3, "the brown dog and the fox of the house"), (4, "und die schnelle katze der braune"), (5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in language_id.identify(docs, known).collect()}
+    assert got[1] == got[2] == ("und", True) and got[3] == ("en", False) and got[4] == ("de", False) and got[5][1]
+    assert {r.lang_pred for r in language_id.identify(docs, []).collect()} == {"und"}
+
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def brute_spans(text):
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in CARD.finditer(text):
+        digits = pii.digits_of(m.group())
+        if 13 <= len(digits) <= 19 and pii.luhn(digits):
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(pii.digits_of(m.group())) <= 15]
+
+
+def test_fixed_patterns_of_random_texts():
+    rng = random.Random(3)
+    parts = [*"0123456789" * 2, *"+.- ()@aZ%é", "a@b.c", "1.2.3.4", "4111111111111111", "+1 (555) 123-4567", "x@y@z.w"]
+    for _ in range(8000):
+        text = "".join(rng.choices(parts, k=rng.randrange(40)))
+        assert [tuple(s) for s in pii.base_spans(text)] == brute_spans(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("a" * 1_000_000, "1" * 1_000_000, "a" * 500_000 + "@", "+1" + "(" * 500_000, "1." * 300_000, "@" * 500_000):
+        pii.base_spans(text)
+        pii.candidates(text[:200_000])
+
+
+def test_base_spans_of_documents(spark, any_dir, texts):
+    got = {(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone): r.spans.split(",") for r in pii.op7_pii(spark, any_dir).collect()}
+    for i, text in texts(any_dir):
+        want = brute_spans(text or "")
+        count = [sum(s[0] == k for s in want) for k in pii.KINDS]
+        spans = got[(i, *count)]
+        assert {":".join(map(str, s)) for s in want} <= set(spans)
+
+
+@pytest.fixture(scope="module")
+def finder():
+    rng = random.Random(9)
+    number = lambda n: "".join(rng.choices("0123456789", k=n))
+    rows = []
+    for k in range(250):
+        card = "4" + number(14)
+        card += next(d for d in "0123456789" if pii.luhn(card + d))
+        rows += [
+            ("email", "write to ", f"user{k}@mail{k % 9}.example.com", " now"), ("ip", "from ", f"10.{k % 256}.3.{k % 7}", " at"),
+            ("card", "paid by ", card, " then"), ("phone", "call ", f"+1 (555) {rng.randrange(200, 999)}-{number(4)}", " soon"),
+        ]
+    return pii.train(rows)
+
+
+def test_other_writings_are_added(finder):
+    assert [s.kind for s in finder.added("please call (555) 123-4567 now", [])] == ["phone"]
+    assert [s.kind for s in finder.added("the card 4111.1111.1111.1111 was", [])] == ["card"]
+    for text in ("the card 4111.1111.1111.1112 was", "on 2024-01-15 we met", "plain words only", "in 1999 - 2004 it"):
+        assert finder.added(text, []) == []
+    base = pii.base_spans("paid with 4111 1111 1111 1111 today")
+    assert finder.added("paid with 4111 1111 1111 1111 today", base) == []
+
+
+def test_redaction_and_too_few_examples(spark, odd_dir):
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
+    got = {r.doc_id: r.redacted for r in pii.find_pii(docs, redact=True).where("doc_id IS NOT NULL").collect()}
+    assert got[14] == "mail me at [EMAIL] or [PHONE], card [CARD], host [IP]." and got[0] is None and got[1] == ""
+    assert pii.train([]).model is None
+
+
+def test_boosted_trees_learn_and_calibrate():
+    rng = np.random.default_rng(1)
+    x = rng.random((3000, 4))
+    y = (x[:, 0] > 0.5) ^ (x[:, 2] > 0.5)
+    held = rng.random(3000) < 0.3
+    p = boosting.fit(x, y, held).probability(x[held])
+    assert ((p > 0.5) == y[held]).mean() > 0.95
