@@ -90,3 +90,13 @@ def short_count(value) -> Column:
     return F.when(x < 1000, x.cast("string")).otherwise(
         F.concat(fixed(x / 1000, 1), F.lit("k"))
     )
+
+
+def positive_number(text) -> Column:
+    """Whether a text (or number) is a number above 0; never NULL.  NaN is not.
+
+    A cast alone also takes type suffixes such as ``1d``.
+    """
+    text = as_column(text)
+    written = F.trim(text.cast("string")).rlike(r"^(?i)[+]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^(?i)[+]?inf(inity)?$")
+    return F.coalesce(written & (text.try_cast("double") > 0), F.lit(False))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nightgrid import constants as K
-from nightgrid.functions.numbers import percent
+from nightgrid.functions.numbers import percent, positive_number
 from nightgrid.operators.clean import first_row_order
 from nightgrid.operators.ingest import positive_n
 
@@ -30,7 +30,7 @@ def cleaning_counts(
     minimum that is combined before the shuffle.
     """
     valid = positive_n() if "n" in raw.columns else F.lit(True)
-    has_pulses = F.coalesce(F.col("pulses").try_cast("double") > 0, F.lit(False))
+    has_pulses = positive_number("pulses")
     is_noid = F.coalesce(F.col("auto_id") == K.AUTO_NOID, F.lit(False))
     invalid = raw.agg(F.count_if(~valid)).scalar()
     rows = raw.where(valid)

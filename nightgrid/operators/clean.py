@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightgrid import constants as K
-from nightgrid.functions.numbers import as_column
+from nightgrid.functions.numbers import as_column, positive_number
 from nightgrid.functions.species import is_identified, is_unidentified_any_case
 
 
@@ -36,7 +36,7 @@ def filter_noid(df: DataFrame) -> DataFrame:
 
 
 def filter_zero_pulse(df: DataFrame) -> DataFrame:
-    return df.where(F.col("pulses").try_cast("double") > 0)
+    return df.where(positive_number("pulses"))
 
 
 def drop_unidentified(df: DataFrame) -> DataFrame:

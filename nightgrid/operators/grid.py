@@ -64,19 +64,26 @@ def fill_nights(
 ) -> DataFrame:
     """Insert the missing nights of every detector, with the given fill values.
 
-    ``rows`` has one row per detector and night.  Each row unfolds the gap up to the
-    detector's next night, so the dense grid needs neither a join nor a second look
-    at the input.  Nights outside the dates are dropped, their detectors are not.
+    Each row unfolds the gap up to the detector's next night, so the dense grid needs
+    neither a join nor a second look at the input.  Nights outside the dates are dropped,
+    and so are rows without a night; their detectors are not.  Of repeated rows of a
+    night each stays, and the last of them unfolds the gap.
     """
     first, last = _bounds(rows, start_date, end_date)
     nights = Window.partitionBy("Detector").orderBy("Night")
-    found = rows.where(F.col("Detector").isNotNull()).select(
-        *KEYS, *fill, first.alias("_first"), last.alias("_last"),
-        F.lag("Night").over(nights).isNull().alias("_opens"),
+    # Rows without a night come first; one of them may open a detector, the rest go.
+    kept = (
+        rows.where(F.col("Detector").isNotNull()).select(*KEYS, *fill)
+        .withColumn("_place", F.row_number().over(nights))
+        .where((F.col("_place") == 1) | F.col("Night").isNotNull())
+    )
+    found = kept.select(
+        *KEYS, *fill, first.alias("_first"), last.alias("_last"), (F.col("_place") == 1).alias("_opens"),
         F.lead("Night").over(nights).alias("_next"),
     )
     start = F.when(F.col("_opens"), F.col("_first")).otherwise(F.greatest("Night", "_first"))
-    end = F.least(F.coalesce(F.date_sub("_next", 1), F.col("_last")), F.col("_last"))
+    before_next = F.when(F.col("_next") == F.col("Night"), F.col("Night")).otherwise(F.date_sub("_next", 1))
+    end = F.least(F.coalesce(before_next, F.col("_last")), F.col("_last"))
     gaps = found.withColumns({"_start": start, "_end": end}).where(
         F.col("_start") <= F.col("_end")
     )

@@ -7,11 +7,12 @@ import warnings
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nightgrid import constants as K
+from nightgrid.functions.numbers import positive_number
 
 
 def positive_n() -> Column:
     """True for a numeric ``n`` above 0; never NULL."""
-    return F.coalesce(F.col("n").try_cast("double") > 0, F.lit(False))
+    return positive_number("n")
 
 
 def filter_positive_n(df: DataFrame) -> DataFrame:

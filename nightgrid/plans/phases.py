@@ -8,6 +8,7 @@ written table survives lost executors.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,11 +17,14 @@ from nightgrid.functions.species import unified_species
 from nightgrid.functions.times import (
     clock_or_null, clock_text, dashed, join_utc, parse_dashed, study_night, to_local,
 )
-from nightgrid.operators import clean, edits, grid, mapping, summaries
+from nightgrid.operators import audit, clean, edits, grid, mapping, summaries
+from nightgrid.operators.chart_detector import activity_outliers
 from nightgrid.operators.condense import condense
+from nightgrid.operators.ingest import filter_positive_n
 from nightgrid.operators.schema import enforce_types, final_column_select, unify_schema
-from nightgrid.sources.exports import load_flat_dir, load_recursive_dir, union_sources
-from nightgrid.sources.snapshots import read_latest_snapshot, write_snapshot
+from nightgrid.sources.exports import bind_rows, load_flat_dir, load_recursive_dir, union_sources
+from nightgrid.sources.results import run_together, write_release, write_summary_tables
+from nightgrid.sources.snapshots import read_latest_snapshot, read_master_csv, read_snapshot
 
 
 def localize(df: DataFrame, timezone: str, date: str = "date", time: str = "time") -> DataFrame:
@@ -106,28 +110,72 @@ def summary_tables(cpn: DataFrame, master: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def load_sources(spark: SparkSession, local_dir: str, config: StudyConfig) -> DataFrame:
-    """Local exports and every external source, in that order.
+def _found(load):
+    """What ``load`` reads, or None where its folder does not exist."""
+    try:
+        return load()
+    except Exception as error:  # noqa: BLE001 - a missing source must not stop the rest
+        if not isinstance(error, FileNotFoundError) and "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
+
+
+def load_sources(
+    spark: SparkSession, local_dir: str, config: StudyConfig
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of all sources, status of all files): local exports, then every external source.
 
     A source that cannot be found is left out.
     """
-    parts = {"local": load_flat_dir(spark, local_dir).rows}
+    found = {"local": _found(lambda: load_flat_dir(spark, local_dir, keep_invalid=True))}
     for i, root in enumerate(config.external_sources, 1):
-        try:
-            parts[root] = load_recursive_dir(spark, root, source_rank=i).rows
-        except Exception as error:  # noqa: BLE001 - one bad source must not stop the rest
-            if not isinstance(error, FileNotFoundError) and "PATH_NOT_FOUND" not in str(error):
-                raise
-            parts[root] = None
-    return union_sources(parts)
+        found[root] = _found(lambda root=root, i=i: load_recursive_dir(spark, root, source_rank=i, keep_invalid=True))
+    rows = union_sources({kind: part.rows if part else None for kind, part in found.items()})
+    files = [part.files.withColumn("source_kind", F.lit(kind)) for kind, part in found.items() if part]
+    return rows, bind_rows(files)
+
+
+def audit_tables(raw: DataFrame, files: DataFrame, config: StudyConfig) -> dict[str, DataFrame]:
+    """What the preparation removed, could not read and could not name."""
+    filters = config.filters
+    valid = filter_positive_n(raw)
+    rows = standardize(raw, config)
+    counts = audit.cleaning_counts(
+        rows, remove_duplicates=filters.remove_duplicates, remove_noid=filters.remove_noid,
+        remove_zero_pulse=filters.remove_zero_pulse,
+    )
+    names = mapping.names_table(raw.sparkSession, config.detector_names)
+    return {
+        "row_audit": audit.row_audit(counts),
+        "unparsed_times": audit.unparsed_times(localize(valid, config.timezone)),
+        "unmapped": mapping.unmapped_count(valid, names),
+        "files": files,
+    }
 
 
 def run_preparation(
     spark: SparkSession, local_dir: str, out: str, config: StudyConfig, run_ts: str
 ) -> DataFrame:
-    raw = load_sources(spark, local_dir, config)
-    write_snapshot(prepare_master(raw, config), f"{out}/master", run_ts)
-    return read_latest_snapshot(spark, f"{out}/master").drop("run_ts")
+    """The master, with the audit of its making in ``audit/run_ts=.../``."""
+    raw, files = load_sources(spark, local_dir, config)
+    valid = filter_positive_n(raw) if "n" in raw.columns else raw
+    master = read_snapshot(prepare_master(valid, config), f"{out}/master", run_ts)
+    tables = audit_tables(raw, files, config)
+    root = f"{out}/audit/run_ts={run_ts}"
+    run_together([partial(table.write.parquet, f"{root}/{name}") for name, table in tables.items()])
+    return master
+
+
+def template_input(
+    spark: SparkSession, out: str, master: DataFrame | None = None, manual_ids: str | None = None
+) -> DataFrame:
+    """The detections of phase two: the file with manual ids if there is one, else the
+    table in memory, else the newest written master."""
+    if manual_ids is not None:
+        found = _found(lambda: read_master_csv(spark, manual_ids))
+        if found is not None:
+            return found
+    return master if master is not None else read_latest_snapshot(spark, f"{out}/master").drop("run_ts")
 
 
 def run_template(
@@ -138,12 +186,8 @@ def run_template(
 
     The template is written twice: as text for people, and unedited for the diff.
     """
-    spark = master.sparkSession
-    write_snapshot(assign_nights(master, config), f"{out}/master_nights", run_ts)
-    nights = read_latest_snapshot(spark, f"{out}/master_nights").drop("run_ts")
-    template = prepare_template(nights, config, schedules)
-    write_snapshot(template, f"{out}/template", run_ts)
-    template = read_latest_snapshot(spark, f"{out}/template").drop("run_ts")
+    nights = read_snapshot(assign_nights(master, config), f"{out}/master_nights", run_ts)
+    template = read_snapshot(prepare_template(nights, config, schedules), f"{out}/template", run_ts)
     template.write.option("header", True).csv(f"{out}/template_edit_this/run_ts={run_ts}")
     return nights, template
 
@@ -155,6 +199,9 @@ class StudyResult:
     edit_diff: DataFrame
     edit_log: DataFrame
     summaries: dict[str, DataFrame]
+    suspicious: DataFrame
+    outliers: DataFrame
+    released: list[str]
 
 
 def run_analysis(
@@ -165,9 +212,13 @@ def run_analysis(
     final = grid.finalize_grid(
         edited, config.intended_hours, config.detector_specific_schedules
     )
-    write_snapshot(final, f"{out}/calls_per_night", run_ts)
-    spark = master.sparkSession
-    cpn = read_latest_snapshot(spark, f"{out}/calls_per_night").drop("run_ts")
-    write_snapshot(condense(master), f"{out}/hourly_counts", run_ts)
-    calls = read_latest_snapshot(spark, f"{out}/hourly_counts").drop("run_ts")
-    return StudyResult(cpn, calls, diff, edits.edit_log(diff), summary_tables(cpn, calls))
+    cpn = read_snapshot(final, f"{out}/calls_per_night", run_ts)
+    master = clean.noid_handling(master, config.noid_handling)
+    calls = read_snapshot(condense(master), f"{out}/hourly_counts", run_ts)
+    tables = summary_tables(cpn, calls)
+    write_summary_tables(tables, f"{out}/summaries/run_ts={run_ts}")
+    released = write_release(cpn, master, tables, f"{out}/release/run_ts={run_ts}")
+    return StudyResult(
+        cpn, calls, diff, edits.edit_log(diff), tables, grid.suspicious_calls(cpn),
+        activity_outliers(cpn, config.outlier_percentile), released,
+    )

@@ -1,8 +1,8 @@
 """Raw classifier exports: heterogeneous CSV files into one all-text table.
 
-Files differ in header order and content, so each distinct header is read on its
-own and the parts are united by name.  The driver sees file paths and headers
-only, which Spark's file index holds there anyway.
+Files differ in header order and content.  All of them are read by place in one scan,
+and each row's fields are put under the names of its own file's header, so neither jobs
+nor the plan grow with the number of headers.  The driver sees distinct headers only.
 """
 
 from __future__ import annotations
@@ -17,10 +17,13 @@ from nightgrid.operators.ingest import (
     derive_detector_id,
     detect_schema_version,
     filter_positive_n,
+    positive_n,
 )
-from nightgrid.sources.files import list_files, probe_headers, split_header
+from nightgrid.sources.files import probe_headers, split_header
 from nightgrid.sources.names import clean_names
-from nightgrid.sources.scratch import materialize
+
+#: Up to this many files, of about 200 bytes each, the layouts are broadcast to the rows.
+BROADCAST_FILES = 200_000
 
 
 @dataclass(frozen=True)
@@ -30,13 +33,20 @@ class Exports:
 
 
 def read_all_string_csv(
-    spark: SparkSession, paths: str | list[str], columns: list[str], multi_line: bool = False
+    spark: SparkSession, paths: str | list[str], columns: list[str], multi_line: bool = False,
+    skip_corrupt: bool = False, glob: str | None = None, recursive: bool = False,
 ) -> DataFrame:
-    """CSV files sharing one header, every column as text; empty and 'NA' become NULL."""
+    """CSV files, every column as text by its place; empty and 'NA' become NULL.
+
+    A file that breaks off or can't be decompressed is an error that names it;
+    ``skip_corrupt`` takes its rows up to that place instead.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    reader = spark.read.schema(schema).option("recursiveFileLookup", str(recursive).lower())
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        reader.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("multiLine", multi_line)
         .option("escape", '"')
@@ -44,7 +54,7 @@ def read_all_string_csv(
         .option("emptyValue", "NA")
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", skip_corrupt)
         .csv(paths)
     )
 
@@ -68,18 +78,22 @@ def with_provenance(df: DataFrame, source_rank: int = 0) -> DataFrame:
     )
 
 
-def intro_standardize(df: DataFrame, keep_invalid: bool = False) -> DataFrame:
-    """Per-file cleaning: valid ``n``, detector id, schema version."""
-    if not keep_invalid:
-        df = filter_positive_n(df)
-    return detect_schema_version(derive_detector_id(df))
-
-
 def bind_rows(parts: list[DataFrame]) -> DataFrame:
     """UNION ALL by name; columns a part lacks are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _layouts(headers: list[str]) -> tuple[list[str], list[tuple]]:
+    """All column names, and per header (text, place of each name, facts about the file)."""
+    named = {h: clean_names(split_header(h)) for h in sorted(headers)}
+    columns = list(dict.fromkeys(name for names in named.values() for name in names))
+    rows = []
+    for header, names in named.items():
+        place = {name: i for i, name in enumerate(names)}
+        rows.append((header, [place.get(c, -1) for c in columns], "n" in place, "alternates" in place))
+    return columns, rows
+
+
 def read_exports(
     spark: SparkSession,
     root: str,
@@ -88,24 +102,52 @@ def read_exports(
     source_rank: int = 0,
     keep_invalid: bool = False,
     multi_line: bool = False,
+    skip_corrupt: bool = False,
 ) -> Exports:
     """Read all matching files below ``root``.
 
-    Runs jobs over file headers.  The driver sees each distinct header once.
+    One job looks at the headers; the driver gets each distinct header with its number
+    of files.  Files that can't be read are left out, with a warning, and listed.
     """
-    probed = materialize(probe_headers(list_files(spark, root, glob, recursive)), "headers")
-    for row in probed.where("status <> 'ok'").select("path", "status").collect():
-        warnings.warn(f"skipped {row.path}: {row.status}", stacklevel=2)
-    readable = probed.where("status = 'ok'")
-    headers = [r.header for r in readable.select("header").distinct().collect()]
-    parts = []
-    for header in sorted(headers):
-        same = readable.where(F.col("header") == header).select("path").orderBy("path")
-        paths = [r.path for r in same.collect()]
-        columns = clean_names(split_header(header))
-        raw = read_all_string_csv(spark, paths, columns, multi_line)
-        parts.append(intro_standardize(with_provenance(raw, source_rank), keep_invalid))
-    return Exports(bind_rows(parts) if parts else None, probed.select("path", "status"))
+    probed = probe_headers(spark, root, glob, recursive)
+    files = probed.select("path", "status")
+    counts = probed.groupBy("status", "header").agg(F.count("*").alias("n")).collect()
+    for row in counts:
+        if row.status != "ok":
+            warnings.warn(f"skipped {row.n} files below {root}: {row.status}", stacklevel=2)
+    headers = [row.header for row in counts if row.status == "ok"]
+    if not headers:
+        return Exports(None, files)
+    columns, layouts = _layouts(headers)
+    width = 1 + max(max(places) for _, places, _, _ in layouts)
+    raw = read_all_string_csv(
+        spark, root, [f"_{i}" for i in range(width)], multi_line, skip_corrupt, glob, recursive
+    )
+    raw = with_provenance(raw, source_rank)
+    if len(counts) == 1:
+        _, places, has_n, single = layouts[0]
+        facts = {"_has_n": F.lit(has_n), "_single": F.lit(single)}
+        named = {c: F.col(f"_{i}") for c, i in zip(columns, places)}
+    else:
+        table = spark.createDataFrame(layouts, "header string, _places array<int>, _has_n boolean, _single boolean")
+        # The layouts are one row per distinct header, which the driver has held.
+        of_file = probed.where("status = 'ok'").join(F.broadcast(table), "header").drop("header", "path", "status")
+        if sum(row.n for row in counts) <= BROADCAST_FILES:
+            of_file = F.broadcast(of_file)
+        raw = raw.join(of_file, F.col("_read_order.path") == F.col("uri"))
+        facts = {"_has_n": F.col("_has_n"), "_single": F.col("_single")}
+        fields = F.array(*[F.col(f"_{i}") for i in range(width)])
+        named = {c: F.get(fields, F.get("_places", F.lit(k))) for k, c in enumerate(columns)}
+    rows = raw.select(
+        *[value.alias(c) for c, value in named.items()], "source_file", "_read_order",
+        *[value.alias(c) for c, value in facts.items()],
+    )
+    if not keep_invalid and "n" in columns:
+        rows = rows.where(~F.col("_has_n") | positive_n())
+    elif not keep_invalid:
+        rows = filter_positive_n(rows)
+    rows = detect_schema_version(derive_detector_id(rows), F.col("_single"))
+    return Exports(rows.drop("_has_n", "_single"), files)
 
 
 def load_flat_dir(spark: SparkSession, directory: str, **options) -> Exports:

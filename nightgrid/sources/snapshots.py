@@ -1,30 +1,23 @@
 """Timestamped and versioned tables, and their text exports.
 
 A snapshot is a Parquet folder below a ``run_ts=`` or ``version=`` partition.
-Readers pick the newest by folder name and then open only that folder.
+Readers pick the newest finished one by folder name and then open only that folder.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nightgrid.functions.times import export_text, parse_month_first
-from nightgrid.sources.files import latest_value, list_files
+from nightgrid.sources.files import claim_file, list_folders
 
 RUN_TS = r"^\d{8}_\d{6}$"
 
 
-def _newest(spark: SparkSession, root: str, pattern: str):
-    try:
-        files = list_files(spark, root, "*", recursive=True)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition()):
-            raise
-        return None
-    return latest_value(files, pattern)
+def _newest(spark: SparkSession, root: str, pattern: str) -> str | None:
+    return max(list_folders(spark, root, pattern), default=None)
 
 
 def write_snapshot(df: DataFrame, root: str, run_ts: str) -> str:
@@ -42,20 +35,29 @@ def write_snapshot(df: DataFrame, root: str, run_ts: str) -> str:
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The newest snapshot, with its ``run_ts`` as a text column."""
-    latest = _newest(spark, root, r"/run_ts=(\d{8}_\d{6})/")
+    latest = _newest(spark, root, r"run_ts=(\d{8}_\d{6})")
     if latest is None:
         raise FileNotFoundError(f"no snapshot below {root}")
     return spark.read.parquet(f"{root}/run_ts={latest}").withColumn("run_ts", F.lit(latest))
 
 
+def read_snapshot(df: DataFrame, root: str, run_ts: str) -> DataFrame:
+    """Write a snapshot and go on from it, whatever other runs have written since."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_snapshot(df, root, run_ts))
+
+
 def next_version(spark: SparkSession, root: str) -> int:
     """Versions are zero-padded in folder names, so text order is number order."""
-    latest = _newest(spark, root, r"/version=(\d+)/")
-    return 1 if latest is None else int(latest) + 1
+    taken = list_folders(spark, root, r"version=(\d+)", finished=False)
+    return 1 + max(map(int, taken), default=0)
 
 
 def write_versioned(df: DataFrame, root: str) -> int:
-    version = next_version(df.sparkSession, root)
+    """Write the next version.  Its number is claimed first, so two writers never share one."""
+    spark = df.sparkSession
+    version = next_version(spark, root)
+    while not claim_file(spark, f"{root}/_claims/{version:06d}"):
+        version += 1
     df.write.parquet(f"{root}/version={version:06d}")
     return version
 

@@ -10,6 +10,7 @@ from nightgrid.config import DataFilters, StudyConfig
 from nightgrid.operators import clean, ingest, mapping, schema
 from nightgrid.plans import phases
 from nightgrid.sources import exports, files, snapshots
+from nightgrid.sources.files import split_header
 from nightgrid.sources.names import clean_names
 
 ID_A, ID_B = "AAAA000000000001", "BBBB000000000002"
@@ -76,17 +77,85 @@ def test_flat_dir_aligns_differing_headers(spark, raw_dir, rows):
 
 def test_file_report_names_skipped_files(spark, raw_dir, rows):
     report = {p.rsplit("/", 1)[1]: s for p, s in rows(load(spark, raw_dir).files)}
-    assert report["e_header.csv"] == "empty"
+    assert report["e_header.csv"] == "ok"  # a header is all that is looked at; its reader finds no rows
     assert "f_empty.csv" not in report  # Spark does not list files of zero bytes
     assert report["a_v1.csv"] == "ok" and "night_id.csv" not in report
 
 
-def test_unreadable_file_is_reported(spark, tmp_path):
-    (tmp_path / "bad.csv").write_bytes(b"A,B\n\xff\xfe\xfa,1\n")
-    (tmp_path / "good.csv").write_text("N,IN FILE,AUTO ID\n1,x,MYLU\n")
+HEAD = b"N,IN FILE,AUTO ID\n"
+
+
+@pytest.mark.parametrize("content, n", [
+    (b"N,IN FILE,AUTO ID\n" + b"1,a,M\n" * 10_919 + "1,\u00e9\u00e9\u00e9\u00e9\u00e9\u00e9\u00e9\u00e9,M\n".encode() * 9, 10_928),
+    (HEAD + b"1,\xff\xfe\xfa,MYLU\n1,b,MYLU\n", 2),
+    (b"N,IN FILE,AUTO ID," + b",".join(b"column %d " % i + b"x" * 9_000 for i in range(9)) + b"\n1,x,MYLU\n", 1),
+    (b"\n \nN,IN FILE,AUTO ID\n1,x,MYLU\n", 1),
+    (b"\xef\xbb\xbf" + HEAD + b"1,x,MYLU\n", 1),
+], ids=["character over 64 KiB", "latin-1 row", "header over 64 KiB", "blank lines first", "byte order mark"])
+def test_no_file_is_lost(spark, tmp_path, content, n):
+    (tmp_path / "a.csv").write_bytes(content)
+    (tmp_path / "b.csv").write_text("AUTO ID,N,IN FILE\nMYLU,1,x\n")
     found = load(spark, str(tmp_path))
+    assert {r.status for r in found.files.collect()} == {"ok"}
+    counts = {r.source_file: r["count"] for r in found.rows.groupBy("source_file").count().collect()}
+    assert counts == {"a.csv": n, "b.csv": 1}
+    assert {r.detector_id for r in found.rows.where("source_file = 'b.csv'").collect()} == {"x"}
+
+
+def test_files_that_cannot_be_read_are_reported(spark, tmp_path):
+    (tmp_path / "wide.csv").write_bytes("N,IN FILE\n1,x\n".encode("utf-16"))
+    (tmp_path / "good.csv").write_bytes(HEAD + b"1,x,MYLU\n")
+    with pytest.warns(UserWarning, match="UTF-16"):
+        found = exports.load_flat_dir(spark, str(tmp_path))
     assert found.rows.count() == 1
-    assert found.files.where("status like 'unreadable%'").count() == 1
+    assert [r.path.rsplit("/")[-1] for r in found.files.where("status like 'unreadable%'").collect()] == ["wide.csv"]
+
+
+def test_a_broken_archive_is_an_error_or_skipped(spark, tmp_path):
+    import gzip
+
+    data = HEAD + b"".join(b"1,%d,MYLU\n" % (i * 7919) for i in range(50_000))
+    packed = gzip.compress(data)
+    (tmp_path / "cut.csv.gz").write_bytes(packed[: len(packed) // 2])
+    options = {"glob": "*.csv.gz"}
+    with pytest.raises(Exception, match="cut.csv.gz"):
+        exports.read_exports(spark, str(tmp_path), **options).rows.count()
+    assert 0 < exports.read_exports(spark, str(tmp_path), skip_corrupt=True, **options).rows.count() < 50_000
+
+
+def test_header_with_quoted_line_break(spark, tmp_path):
+    assert split_header('"in\nfile",N') == ["in\nfile", "N"]
+    (tmp_path / "a.csv").write_text('N,"IN\nFILE",AUTO ID\n1,x,MYLU\n')
+    found = exports.load_flat_dir(spark, str(tmp_path), multi_line=True)
+    assert [(r.n, r.in_file, r.auto_id) for r in found.rows.collect()] == [("1", "x", "MYLU")]
+
+
+def test_many_headers_one_scan(spark, tmp_path):
+    for i in range(60):
+        names = ["N", "AUTO ID", "IN FILE", *[f"extra {k}" for k in range(i % 20)]]
+        names = names[i % 3 :] + names[: i % 3]
+        values = [{"N": "1", "AUTO ID": "MYLU", "IN FILE": f"d{i}"}.get(c, c) for c in names]
+        (tmp_path / f"{i}.csv").write_text(",".join(names) + "\n" + ",".join(values) + "\n")
+    found = exports.load_flat_dir(spark, str(tmp_path)).rows
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert {r.in_file for r in found.where("auto_id = 'MYLU' AND n = '1'").collect()} == {f"d{i}" for i in range(60)}
+    assert found.where("extra_5 = 'extra 5'").count() == 42
+
+
+def test_headers_by_scan(spark, raw_dir):
+    scanned = files._scan_headers(spark, raw_dir, "*.csv", False).select("uri", "header")
+    probed = files.probe_headers(spark, raw_dir).where("status = 'ok'").select("uri", "header")
+    assert sorted(map(tuple, scanned.collect())) == sorted(map(tuple, probed.collect()))
+
+
+@pytest.mark.parametrize("text, positive", [
+    ("1", True), (" 2.5 ", True), ("NaN", False), ("1d", False), ("-1", False), ("0", False), ("1e3", True), (None, False),
+    ("Inf", True), ("", False), (".5", True),
+])
+def test_positive_numbers(spark, text, positive):
+    df = spark.createDataFrame([(text,)], "n string")
+    assert ingest.filter_positive_n(df).count() == positive
 
 
 def test_recursive_dir(spark, raw_dir):

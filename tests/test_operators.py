@@ -483,3 +483,22 @@ def test_edit_numbers_follow_detector_and_night(spark):
     found = [(r.edit_no, r.Detector, r.Night.day) for r in log.orderBy("edit_no").collect()]
     assert [f[0] for f in found] == list(range(1, 9))
     assert [f[1:] for f in found] == sorted((d, n.day) for d, n in cells if (d, n.day) != ("a", 5))
+
+
+def test_nights_of_rows_without_a_night(spark, rows):
+    """A detector with unparsed times gets each night once; one with nothing else too."""
+    night = lambda d: dt.date(2024, 1, d)
+    df = spark.createDataFrame(
+        [("A", None, 9), ("A", None, 8), ("A", night(3), 2), ("B", None, 1)], "Detector string, Night date, n int")
+    filled = grid.fill_nights(df, {"n": 0}, "2024-01-01", "2024-01-04")
+    assert rows(filled) == sorted(
+        [("A", night(d), 2 if d == 3 else 0) for d in range(1, 5)] + [("B", night(d), 0) for d in range(1, 5)], key=repr)
+
+
+def test_repeated_nights_stay(spark, rows):
+    night = lambda d: dt.date(2024, 1, d)
+    df = spark.createDataFrame(
+        [("A", night(2), 5), ("A", night(2), 6), ("A", night(4), 7), ("A", night(4), 8)], "Detector string, Night date, n int")
+    filled = grid.fill_nights(df, {"n": 0}, "2024-01-01", "2024-01-05")
+    assert rows(filled) == sorted([("A", night(1), 0), ("A", night(2), 5), ("A", night(2), 6), ("A", night(3), 0),
+                                   ("A", night(4), 7), ("A", night(4), 8), ("A", night(5), 0)], key=repr)

@@ -37,6 +37,16 @@ def test_three_phases(spark, tmp_path):
     out = str(tmp_path / "out")
     master = phases.run_preparation(spark, local, out, config, "20251101_120000")
     assert master.count() == 7
+    audit = {name: spark.read.parquet(f"{out}/audit/run_ts=20251101_120000/{name}").collect()
+             for name in ("row_audit", "unparsed_times", "unmapped", "files")}
+    assert [(r.event_type, r.n_removed) for r in sorted(audit["row_audit"], key=lambda r: r.step)] == [
+        ("rows_removed", 0), ("duplicate", 1), ("filter_noid", 1), ("filter_zero_pulses", 1)]
+    assert audit["unparsed_times"][0].n_unparsed == 0 and audit["unmapped"][0].n_unmapped == 0
+    assert sorted((r.source_kind == "local", r.status) for r in audit["files"]) == [(False, "ok"), (True, "ok")]
+    # A later snapshot of another run is there from now on; no phase may take it.
+    master.limit(1).write.parquet(f"{out}/master/run_ts=20991231_000000")
+    for name in ("master_nights", "template", "calls_per_night", "hourly_counts"):
+        spark.range(1).write.parquet(f"{out}/{name}/run_ts=20991231_000000")
     assert {(r.Detector, r.auto_id) for r in master.collect()} == {("North", "MYOLUC"), ("South", "LASBOR")}
 
     nights, template = phases.run_template(master, out, config, "20251101_120000")
@@ -56,8 +66,13 @@ def test_three_phases(spark, tmp_path):
     study = result.summaries["study_summary"].first()
     assert (study.n_detectors, study.n_detector_nights, study.total_calls) == (2, 6, 7.0)
     assert result.summaries["hourly_summary"].count() == 2
-    for table in result.summaries.values():
+    for name, table in result.summaries.items():
         assert table.count() > 0
+        assert spark.read.option("header", True).csv(f"{out}/summaries/run_ts=20251101_120000/{name}").count() > 0
+    assert set(result.released) == {"calls_per_night", "master", "summary/detector_summary", "summary/study_summary",
+                                    "summary/species_summary", "summary/hourly_summary"}
+    assert spark.read.parquet(f"{out}/release/run_ts=20251101_120000/master").count() == 7
+    assert result.suspicious.count() == 0 and result.outliers.count() == 6
 
 
 def test_schedules_per_detector(spark):
@@ -67,3 +82,22 @@ def test_schedules_per_detector(spark):
         [("North", dt.date(2025, 10, 4)), ("South", dt.date(2025, 10, 4))], "Detector string, Night date")
     hours = {r.Detector: r.RecordingHours for r in phases.prepare_template(master, config).collect()}
     assert hours == {"North": 8.0, "South": None}
+
+
+def test_missing_local_folder(spark, tmp_path):
+    _, far = write_inputs(tmp_path)
+    config = StudyConfig(**{**CONFIG.__dict__, "external_sources": (far,)})
+    master = phases.run_preparation(spark, str(tmp_path / "nowhere"), str(tmp_path / "out"), config, "20251101_120000")
+    assert [r.Detector for r in master.collect()] == ["South"]
+
+
+def test_template_input_priority(spark, tmp_path):
+    out, manual = str(tmp_path), str(tmp_path / "manual")
+    rows = spark.createDataFrame([("North",)], "Detector string")
+    rows.write.parquet(f"{out}/master/run_ts=20250101_000000")
+    spark.createDataFrame([("Manual", "MYLU")], "Detector string, manual_id string").write.option("header", True).csv(manual)
+    memory = spark.createDataFrame([("Memory",)], "Detector string")
+    first = lambda **given: phases.template_input(spark, out, **given).first().Detector
+    assert first(manual_ids=manual, master=memory) == "Manual"
+    assert first(manual_ids=manual + "-missing", master=memory) == "Memory"
+    assert first() == "North"

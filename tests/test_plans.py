@@ -4,8 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
-from nightgrid.catalog import bases
+from nightgrid.catalog import QUERIES, bases
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = ("FlatMapGroupsInPandas", "MapInPandas", "ArrowEvalPython", "BatchEvalPython")
@@ -18,7 +17,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {key: plan(build(spark, SF_DIR)) for key, build in queries().items()}
+    return {key: plan(build(spark, SF_DIR)) for key, build in QUERIES.items()}
 
 
 def test_no_cross_joins(plans):
