@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,7 +34,9 @@ ROLL_BYTES, CHUNK_BITS, LEAST_CHUNK = 16, 9, 64
 SETTLED_CHARS = 32
 FIRST_WINDOW = 64
 #: Bounds of a worker's memory: words, and tokens of chunks.
-CACHE_WORDS, CACHE_WORD_CHARS, CACHE_TOKENS = 300_000, 64, 2_000_000
+CACHE_WORDS, CACHE_WORD_CHARS, CACHE_TOKENS = 150_000, 64, 500_000
+#: Bytes of texts that are cut into chunks together.
+BLOCK_BYTES = 1 << 20
 
 _LETTERS, _NUMBERS, _SPACES = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t\n\x0b\x0c\r \x85\xa0"
 #: The byte-level pattern for texts within Latin-1; other texts go through the library.
@@ -48,8 +51,8 @@ class Chunk(NamedTuple):
     """An encoded text: ids, and the character counts and bytes of ids at the end of each word."""
 
     ids: bytes  #: little-endian unsigned 32-bit integers
-    ends: list[int]
-    tokens: list[int]
+    ends: array
+    tokens: array
 
 
 class Words(dict):
@@ -119,7 +122,7 @@ class Coder:
                 words += self._words_of(part)
         # A special token is a word by itself, and the library encodes it as such.
         ids = list(map(self.words.__getitem__, words))
-        return Chunk(b"".join(ids), list(accumulate(map(len, words))), list(accumulate(map(len, ids))))
+        return Chunk(b"".join(ids), array("q", accumulate(map(len, words))), array("q", accumulate(map(len, ids))))
 
     def chunk(self, text: str) -> Chunk:
         """``plain``, once for each chunk that the worker remembers."""
@@ -228,7 +231,7 @@ def _route(text: Column) -> Column:
     def route(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found: list[int] = []
-            for _, _, data, offsets in blocks(batch):
+            for _, _, data, offsets in blocks(batch, BLOCK_BYTES):
                 cuts = cut_points(data, offsets)
                 raw = data.tobytes()
                 first = np.searchsorted(cuts, offsets)
@@ -266,7 +269,7 @@ def encode_documents(
         known = coder(path)
         for batch in batches:
             n, one, two, full, texts = [], [], [], [], []
-            for _, _, data, offsets in blocks(batch):
+            for _, _, data, offsets in blocks(batch, BLOCK_BYTES):
                 for chunks in chunks_of(data, offsets):
                     found = known.encode(chunks)
                     decoded = known.decode(found)

@@ -58,12 +58,12 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first text, end, bytes, offsets) of runs of texts of about ``BLOCK_BYTES``."""
+def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, end, bytes, offsets) of runs of texts of about ``size`` bytes."""
     data, offsets = text_buffers(texts)
     first, n = 0, len(offsets) - 1
     while first < n:
-        end = int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         end = min(max(end, first + 1), n)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
