@@ -29,6 +29,47 @@ def dashed(value) -> Column:
     return F.replace(F.replace(text, F.lit("/"), F.lit("-")), F.lit("."), F.lit("-"))
 
 
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def _full_year(two: Column) -> Column:
+    """Two digits to a year: 00-68 are of this century, 69-99 of the last."""
+    return F.concat(F.when(two.cast("int") < 69, "20").otherwise("19"), two)
+
+
+def _month_number(name: Column) -> Column:
+    place = F.instr(F.lit(_MONTHS), name)
+    return F.when(place % 3 == 1, F.lpad((F.floor(place / 3) + 1).cast("string"), 2, "0"))
+
+
+def other_date(value) -> Column:
+    """The rarer forms: compact digits, years of two digits, names of months; else NULL.
+
+    Orders are tried as year-month-day, month-day-year, day-month-year.  This is for
+    rows that the plain forms do not fit, so it may use regular expressions.
+    """
+    text = F.lower(F.regexp_replace(F.trim(as_column(value)), r"[\s,._/-]+", "-"))
+    dash = F.lit("-")
+
+    def taken(pattern: str, year: int, month: int, day: int) -> Column:
+        part = [None, *[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)]]
+        y, m = part[year], part[month]
+        y = F.when(F.length(y) == 2, _full_year(y)).otherwise(y)
+        m = F.when(m.rlike("^[0-9]+$"), m).otherwise(_month_number(F.substring(m, 1, 3)))
+        return F.when(text.rlike(pattern), F.concat(y, dash, m, dash, part[day])).try_cast("date")
+
+    name, end = "([a-z]{3})[a-z]*", "(?:[-t].*)?$"
+    return F.coalesce(
+        taken(r"^(\d{4})(\d{2})(\d{2})(?:[-t].*)?$", 1, 2, 3),
+        taken(r"^(\d{2})(\d{2})(\d{2})(?:[-t].*)?$", 1, 2, 3),
+        taken(rf"^(\d{{4}})-?{name}-?(\d{{1,2}}){end}", 1, 2, 3),
+        taken(rf"^{name}-?(\d{{1,2}})(?:st|nd|rd|th)?-(\d{{4}}|\d{{2}}){end}", 3, 1, 2),
+        taken(rf"^(\d{{1,2}})(?:st|nd|rd|th)?-?{name}-?(\d{{4}}|\d{{2}}){end}", 3, 2, 1),
+        taken(r"^(\d{2})-(\d{1,2})-(\d{1,2})$", 1, 2, 3),
+        *[taken(r"^(\d{1,2})-(\d{1,2})-(\d{2})$", *order) for order in ((3, 1, 2), (3, 2, 1))],
+    )
+
+
 def parse_dashed(value, day_first: bool = False) -> Column:
     """``parse_date`` of text that ``dashed`` has prepared.
 
@@ -51,24 +92,38 @@ def parse_dashed(value, day_first: bool = False) -> Column:
         candidates.append(
             F.when(year_last, F.concat(year, dash, second, dash, first)).try_cast("date")
         )
-    return F.coalesce(*candidates)
+    return F.coalesce(*candidates, other_date(text))
 
 
 def parse_date(value, day_first: bool = False) -> Column:
-    """ISO, then month-day-year, then (if asked) day-month-year; else NULL.
+    """ISO, then month-day-year, then (if asked) day-month-year, then ``other_date``.
 
     '-', '/' and '.' are accepted as separators and a time of day after the date
-    is ignored.  No regular expressions: this runs on every detection.
+    is ignored.  The plain forms need no regular expressions: they run on every detection.
     """
     return parse_dashed(dashed(value), day_first)
 
 
 def clock_or_null(value) -> Column:
-    """'H:M' or 'H:M:S' text, without a fraction; NULL for anything with a zone or half."""
+    """'H:M' or 'H:M:S' text, without a fraction; NULL for anything with a zone or half.
+
+    Text without colons is tried in the forms of ``_other_clock``.
+    """
     text = F.substring_index(F.trim(as_column(value)), ".", 1)
     digit_last = F.right(text, F.lit(1)).between("0", "9")
     plain = text.contains(":") & ~text.contains("+") & ~text.contains("-") & digit_last
-    return F.when(plain, text)
+    return F.when(plain, text).when(~text.contains(":"), _other_clock(text))
+
+
+def _other_clock(text: Column) -> Column:
+    """'HHMMSS', 'HHMM', 'H-M-S' and 'H-M' (also with blanks) as 'H:M[:S]'; else NULL."""
+    parted, packed = r"^(\d{1,2})[-_ ](\d{1,2})(?:[-_ ](\d{1,2}))?$", r"^(\d{2})(\d{2})(\d{2})?$"
+
+    def joined(pattern: str) -> Column:
+        parts = [F.regexp_extract(text, pattern, i) for i in (1, 2, 3)]
+        return F.concat_ws(":", parts[0], parts[1], F.nullif(parts[2], F.lit("")))
+
+    return F.when(text.rlike(packed), joined(packed)).when(text.rlike(parted), joined(parted))
 
 
 def join_utc(day, clock) -> Column:

@@ -32,23 +32,27 @@ def cleaning_counts(
     valid = positive_n() if "n" in raw.columns else F.lit(True)
     has_pulses = positive_number("pulses")
     is_noid = F.coalesce(F.col("auto_id") == K.AUTO_NOID, F.lit(False))
-    invalid = raw.agg(F.count_if(~valid)).scalar()
-    rows = raw.where(valid)
+    rows = raw.withColumns({"_valid": valid, "_pulses": has_pulses, "_noid": is_noid})
+    # Invalid rows share one group, so one scan and one shuffle count them too.
+    group = [F.col("_valid"), *[F.when(F.col("_valid"), F.col(k)).alias(k) for k in keys]]
     if remove_duplicates:
-        order = F.struct(*first_row_order(rows, keys))
-        kept = rows.withColumns({"_order": order, "_pulses": has_pulses}).groupBy(*keys).agg(
-            F.count("*").alias("_n"), F.min_by("_pulses", "_order").alias("_pulses")
+        order = F.struct(*first_row_order(raw, keys))
+        kept = rows.withColumn("_order", order).groupBy(*group).agg(
+            F.count("*").alias("_n"), F.min_by("_pulses", "_order").alias("_pulses"),
+            F.min_by("_noid", "_order").alias("_noid"),
         )
     else:
-        kept = rows.select(*keys, F.lit(1).alias("_n"), has_pulses.alias("_pulses"))
-    noid = is_noid if remove_noid else F.lit(False)
+        kept = rows.select("_valid", F.lit(1).alias("_n"), "_pulses", "_noid")
+    noid = F.col("_noid") if remove_noid else F.lit(False)
     silent = ~noid & ~F.col("_pulses") if remove_zero_pulse else F.lit(False)
+    good = F.col("_valid")
     return kept.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_valid"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate"),
-        F.count_if(noid).alias("filter_noid"),
-        F.count_if(silent).alias("filter_zero_pulses"),
-    ).withColumn("rows_removed", invalid)
+        F.coalesce(F.sum(F.when(good, F.col("_n"))), F.lit(0)).alias("rows_valid"),
+        F.coalesce(F.sum(F.when(good, F.col("_n") - 1)), F.lit(0)).alias("duplicate"),
+        F.count_if(good & noid).alias("filter_noid"),
+        F.count_if(good & silent).alias("filter_zero_pulses"),
+        F.coalesce(F.sum(F.when(~good, F.col("_n"))), F.lit(0)).alias("rows_removed"),
+    )
 
 
 def row_audit(counts: DataFrame) -> DataFrame:

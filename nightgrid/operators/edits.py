@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightgrid.functions.numbers import fixed
 from nightgrid.functions.times import log_text, parse_month_first, seconds_between
+from nightgrid.sources.scratch import materialize
 
 SIDES = ("StartDateTime", "EndDateTime")
 KINDS = ("changed", "added", "removed")
@@ -64,16 +65,20 @@ def _side_text(side: str) -> Column:
 def edit_log(diff: DataFrame) -> DataFrame:
     """Numbered, ordered log entries of the edited rows.
 
-    Rows are numbered within their detector and shifted by the edits of the
-    detectors before it, so only one count per detector is ordered in one task.
+    The rows are ranged over tasks and written once; their numbers are places within
+    their range, shifted by the sizes of the ranges before.  Only one count per range is
+    ordered in one task.
     """
-    edited = diff.where("Any_change")
-    per_detector = edited.groupBy("Detector").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("Detector")) - F.col("_n")
-    shift = per_detector.select("Detector", before.alias("_before"))
-    place = F.row_number().over(Window.partitionBy("Detector").orderBy("Night"))
-    rows = edited.withColumn("_place", place).join(shift, "Detector")
-    rows = rows.withColumn("edit_no", F.col("_before") + F.col("_place"))
+    ranged = (
+        diff.where("Any_change").repartitionByRange("Detector", "Night").sortWithinPartitions("Detector", "Night")
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    rows = materialize(ranged, "edit-log").withColumn("_range", F.shiftright("_id", 33))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
+    # One row per range, as many as shuffle partitions.
+    shift = F.broadcast(sizes.select("_range", "_first", before.alias("_before")))
+    rows = rows.join(shift, "_range").withColumn("edit_no", F.col("_before") + F.col("_id") - F.col("_first") + 1)
     hours = F.coalesce(fixed("RecordingHours_edit", 2), F.lit("NA"))
     entry = F.concat(
         F.lit("["), F.col("edit_no").cast("string"), F.lit("] "),

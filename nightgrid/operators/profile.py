@@ -82,13 +82,14 @@ def date_format_profile(df: DataFrame, column: str, n_sample: int = 3) -> DataFr
 
 def infer_study_span(df: DataFrame) -> DataFrame:
     """First and last raw date and the number of detector ids, one row."""
-    ids = distinct_values(df, "detector_id").agg(F.count("*")).scalar()
-    days = df.select(dashed("date").alias("text")).select(
-        parse_dashed("text", day_first=True).alias("day")
+    days = df.select("detector_id", dashed("date").alias("text")).select(
+        "detector_id", parse_dashed("text", day_first=True).alias("day")
     )
-    day = F.col("day")
-    return days.agg(F.min(day).alias("start_date"), F.max(day).alias("end_date")).withColumn(
-        "n_detector_ids", ids
+    # Per detector first: one scan, and distinct ids are counted as rows.
+    spans = days.groupBy("detector_id").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    return spans.agg(
+        F.min("first").alias("start_date"), F.max("last").alias("end_date"),
+        F.count("detector_id").alias("n_detector_ids"),
     )
 
 

