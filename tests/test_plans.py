@@ -8,7 +8,8 @@ from nightgrid.catalog import QUERIES, bases
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = ("FlatMapGroupsInPandas", "MapInPandas", "ArrowEvalPython", "BatchEvalPython")
-WITH_PANDAS = {"pairwise_correlation", "detector_correlation"}
+# Blocks of detectors, and the look at the headers of files.
+WITH_PANDAS = {"pairwise_correlation", "detector_correlation", "load_flat_dir", "load_recursive_dir", "union_sources"}
 
 
 def plan(df) -> str:
@@ -25,7 +26,7 @@ def test_no_cross_joins(plans):
     assert bad == []
 
 
-def test_python_only_for_pairs_of_detectors(plans):
+def test_python_only_for_pairs_of_detectors_and_headers(plans):
     assert {k for k, p in plans.items() if any(x in p for x in PYTHON)} == WITH_PANDAS
 
 
