@@ -398,26 +398,19 @@ def _(spark, sf_dir):
           ELSE date_trunc('second', ts) END - INTERVAL 6 HOUR END AS DateTime_local FROM spl
       WHERE TRY_CAST(n AS DOUBLE) > 0)
     SELECT Detector, DateTime_local, code AS auto_id, event_id, pulses, COALESCE(out_file_fs, out_file) AS out_file_fs
-    FROM loc WHERE TRUE QUALIFY row_number() OVER (PARTITION BY Detector, DateTime_local, code ORDER BY source_file, in_file, event_id) = 1
+    FROM loc WHERE TRUE QUALIFY row_number() OVER (PARTITION BY Detector, DateTime_local, code ORDER BY
+        CASE WHEN schema_version LIKE 'v1%' THEN 1 WHEN schema_version LIKE 'v2%' THEN 2 WHEN schema_version LIKE 'v3%' THEN 3
+        ELSE 4 END, source_file, in_file, event_id) = 1
       AND code <> 'NoID' AND CAST(pulses AS DOUBLE) > 0"""),
 )
 def _(spark, sf_dir):
     raw = ingest.derive_detector_id(ingest.filter_positive_n(versioned_raw(spark, sf_dir)))
     # The file name and the record number stand for the reading order.
     order = F.struct("source_file", "in_file", "event_id")
-    ready = prepare_master(_ordered(raw, order), CONFIG)
+    ready = prepare_master(raw.withColumn("_read_order", order), CONFIG)
     return ready.select("Detector", "DateTime_local", "auto_id", "event_id", "pulses", "out_file_fs")
 
 
-def _ordered(raw: DataFrame, order) -> DataFrame:
-    from nightgrid import constants as K
-
-    # Versions are one rank here, because the checking SQL orders by file alone.
-    return raw.withColumn("_read_order", order).withColumn(
-        "schema_version", F.coalesce("schema_version", F.lit(K.SCHEMA_UNKNOWN))
-    )
-
-
 @query(
     "row_audit",
     on_master(HOURLY_COPIES + f""",
