@@ -43,11 +43,15 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> list[t
         F.xxhash64(F.col(text).cast("string")).alias("h"),
     )
     counts = rows.groupBy("lang", "h").agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    smallest = counts.select("lang", "h").withColumn("place", place).where(F.col("place") <= SAMPLE_TEXTS)
+    # The smallest of each of 64 parts of a language first: then no task gets more than
+    # 64 * SAMPLE_TEXTS rows of one, however many tasks have read it.
+    smallest = counts.select("lang", "h", F.pmod("h", F.lit(64)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("h"))
+        smallest = smallest.withColumn("place", place).where(F.col("place") <= SAMPLE_TEXTS).drop("place")
     sizes = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     # At most SAMPLE_TEXTS rows of two words for each language.
-    chosen = F.broadcast(smallest.drop("place"))
+    chosen = F.broadcast(smallest.drop("part"))
     excerpts = rows.join(chosen, ["lang", "h"]).groupBy("lang", "h").agg(
         F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text")
     )
