@@ -320,7 +320,8 @@ def _with_components(rows: DataFrame, nodes: DataFrame, links: DataFrame, node:
     named = nodes.join(labels, nodes[node] == labels["node"], "left").select(
         nodes[node], "first_id", F.coalesce("label", nodes[node]).alias("label")
     )
-    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    # Written, so that the join shuffles both sides and Spark can split a large component.
+    smallest = written(named.groupBy("label").agg(F.min("first_id").alias("component_id")), "smallest")
     named = written(named.join(smallest, "label").select(node, "component_id"), "components")
     return rows.join(named, node)
 
