@@ -21,6 +21,9 @@ UNKNOWN = "und"
 #: Bounds of the labelled sample: texts of a language, code points of each, and bytes of a dictionary.
 SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES = 128, 4096, 1 << 16
 LEVEL = 6
+#: Bytes of letters that are compressed at a time.  A dictionary saves only so many bytes of
+#: one output, so of a long text in one piece the margin would fall with its length.
+PIECE_BYTES = 1 << 13
 #: Reject when the second language needs less than this share more than the first.
 LEAST_MARGIN = 0.005
 FOLDS = 5
@@ -76,11 +79,15 @@ def _compressors(dictionaries: tuple[tuple[str, bytes], ...]) -> list:
 
 
 def classify(text: str | None, dictionaries: tuple[tuple[str, bytes], ...]) -> tuple[str, float]:
-    """(language, margin): the share by which the second language needs more bytes."""
+    """(language, margin): the share by which the second language needs more bytes.
+
+    Pieces of the text are compressed each by itself, and their sizes added up.
+    """
     if not text or not dictionaries or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
     content = letters(text)
-    sizes = [len(c.compress(content)) for c in _compressors(dictionaries)]
+    pieces = [content[k : k + PIECE_BYTES] for k in range(0, len(content), PIECE_BYTES)]
+    sizes = [sum(len(c.compress(piece)) for piece in pieces) for c in _compressors(dictionaries)]
     best = min(range(len(sizes)), key=sizes.__getitem__)  # of equal sizes the more frequent language
     second = min((s for k, s in enumerate(sizes) if k != best), default=None)
     return dictionaries[best][0], 1.0 if second is None else 1 - sizes[best] / second

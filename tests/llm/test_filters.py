@@ -170,3 +170,18 @@ def test_boosted_trees_learn_and_calibrate():
     held = rng.random(3000) < 0.3
     p = boosting.fit(x, y, held).probability(x[held])
     assert ((p > 0.5) == y[held]).mean() > 0.95
+
+
+def test_margin_does_not_fall_with_length():
+    def text(letters, seed):
+        rng = random.Random(seed)
+        known = ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(3000)]
+        return lambda n, s: " ".join(random.Random(s).choices(known, k=n))
+
+    one, two = text("abcdefghijklmnop", 1), text("jklmnopqrstuvwxyz", 2)
+    dictionaries = (("one", one(9000, 1).encode()[: 1 << 16]), ("two", two(9000, 2).encode()[: 1 << 16]))
+    long = one(500_000, 3)
+    assert len(long) > 3_000_000
+    short, whole = language_id.classify(long[:8000], dictionaries), language_id.classify(long, dictionaries)
+    assert short[0] == whole[0] == "one"
+    assert whole[1] >= language_id.LEAST_MARGIN and abs(whole[1] - short[1]) < 0.05
