@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import lru_cache
@@ -60,3 +61,15 @@ def replaced(df: DataFrame, columns: dict) -> DataFrame:
     taken = {c.lower() for c in columns}
     keep = [df[c] for c in df.columns if c.lower() not in taken]
     return df.select(*keep, *[value.alias(name) for name, value in columns.items()])
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Removes a folder of this application's own intermediate files."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of results that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()

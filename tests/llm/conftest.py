@@ -33,13 +33,31 @@ def odd_dir(spark, tmp_path_factory):
     spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{path}/benchmark.parquet")
     labels = [(1, 0, 0), (3, 1, 0), (3, 0, 1), (4, None, None), (None, 0, 0)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    nan, inf = float("nan"), float("inf")
+    vectors = [
+        (0, [0.5, -0.25, 1.0]), (1, [0.5, -0.25, 1.0]), (2, None), (3, [1.0, None, 2.0]), (4, [nan, 0.0, 1.0]), (5, [inf, 0.0, 1.0]),
+        (6, [0.0, 0.125, -1.0]), (7, []), (8, [2.0, 3.0]), (9, [-1.5, 0.75, 0.0]), (9, [-1.5, 0.75, 0.0]), (None, [0.25, 0.5, 0.75]),
+        (11, [3e38, 0.0, 0.0]), (12, [-0.0, 1e-9, 5.0]),
+    ]
+    spark.createDataFrame([(*v, 1, 7) for v in vectors], "vec_id long, embedding array<float>, label int, n int").write.parquet(
+        f"{path}/embeddings.parquet"
+    )
+    turns = [
+        (0, 0, "user", "hello there"), (0, 1, "bot", "hi"), (0, 2, "user", None), (0, 2, None, "tie"), (1, None, "user", "first"),
+        (1, 0, "user", "second"), (2, 0, "user", "hello there"), (2, 1, "bot", "hi"), (3, 5, "user", "hello there"), (19, 0, None, None),
+        (20, 0, "user", LONG), (21, 0, "user", "x"), (21, 0, "user", "x"), (25, 0, "a", "b"), (26, 1, "a", "b"), (-1, 0, "user", "minus"),
+        (None, 0, "user", "nobody"), (45, 0, "user", "no base"), (47, 0, "user", "no base"), (66, 0, "user", " \t "),
+    ]
+    spark.createDataFrame([(*t, "clash") for t in turns], "conv_id long, turn long, role string, text string, depth string").write.parquet(
+        f"{path}/conversations.parquet"
+    )
     return path
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, odd_dir, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings", "conversations"):
         spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0).write.parquet(f"{path}/{name}.parquet")
     return path
 
