@@ -46,15 +46,33 @@ _RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, bas
 _KINDS = (np.uint8, np.uint16, np.uint32, np.uint64)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second ones: they compress better so."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
 def _pack(values: np.ndarray) -> bytes:
     """Whole numbers of at least 0, with as few bytes each as the largest needs."""
     top = int(values.max(initial=0))
     size = next(i for i, kind in enumerate(_KINDS) if top <= np.iinfo(kind).max)
-    return bytes([size]) + values.astype(_KINDS[size]).tobytes()
+    return bytes([size]) + _planes(np.ascontiguousarray(values, _KINDS[size]))
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, _KINDS[data[0]], offset=1).astype(np.int64)
+    kind = np.dtype(_KINDS[data[0]])
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1).astype(np.int64)
+
+
+def _pack_values(values: np.ndarray) -> bytes:
+    """Single-precision numbers, of which many are equal: the different ones and which is where."""
+    different, which = np.unique(values.astype(np.float32), return_inverse=True)
+    return len(different).to_bytes(4, "little") + different.tobytes() + _pack(which)
+
+
+def _unpack_values(data: bytes) -> np.ndarray:
+    end = 4 + 4 * int.from_bytes(data[:4], "little")
+    return np.frombuffer(data[4:end], np.float32)[_unpack(data[end:])].astype(np.float64)
 
 
 def _pack_rising(values: np.ndarray) -> bytes:
@@ -69,15 +87,30 @@ def _hashes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint64)
 
 
+def _codes(hashes: np.ndarray) -> np.ndarray:
+    """The upper 48 bits, which stand for a word in pairs; counts of words go by all 64."""
+    return hashes >> np.uint64(16)
+
+
+def _pack_codes(codes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(codes, np.uint64).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack_codes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).reshape(-1)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.float64())]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_NAMES)
 
 
-def _rows(data: pa.Table | pa.RecordBatch, kind: str | None = None) -> list[dict]:
+def _rows(data: pa.Table | pa.RecordBatch) -> list[dict]:
     """Packets in the order of their source."""
-    return sorted((r for r in data.to_pylist() if kind in (None, r["kind"])), key=lambda r: r["src"])
+    return sorted(data.to_pylist(), key=lambda r: r["src"])
 
 
 def _slices(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -104,6 +137,11 @@ def _blocks_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             lengths = np.diff(words.first, append=len(words.hash))[:n] + 1
             known, place = np.unique(tokens, return_inverse=True)
             learned = np.asarray(learn[first:end].to_numpy(zero_copy_only=False), bool)
+            # Frequent words get small numbers.
+            ranked = np.argsort(-np.bincount(place), kind="stable")
+            rank = np.empty(len(ranked), np.int64)
+            rank[ranked] = np.arange(len(ranked))
+            known, place = known[ranked], rank[place]
             counts = np.bincount(place[np.repeat(learned, lengths)], minlength=len(known))
             doc_ids = ids[first:end]
             parts = [
@@ -120,11 +158,15 @@ class _Block:
 
     def __init__(self, row: dict, n_buckets: int, split: dict[int, int]) -> None:
         place, known, counts, lengths, ids, nulls, learned, held = row["parts"]
-        self.place, self.known, self.counts, self.lengths = _unpack(place), _hashes(known), _unpack(counts), _unpack(lengths)
+        order = np.argsort(_hashes(known))
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        self.place, self.known, self.counts, self.lengths = number[_unpack(place)], _hashes(known)[order], _unpack(counts)[order], _unpack(lengths)
         self.ids, self.nulls = np.frombuffer(ids, np.int64), np.frombuffer(nulls, np.uint8).astype(bool)
         self.learned, self.held = (np.frombuffer(x, np.uint8).astype(bool) for x in (learned, held))
         self.n_buckets, self.split = n_buckets, split
-        bucket = (self.known % np.uint64(n_buckets)).astype(np.int64)
+        self.codes = _codes(self.known)
+        bucket = (self.codes % np.uint64(n_buckets)).astype(np.int64)
         #: Words by bucket, then hash.
         self.word_order = np.argsort(bucket, kind="stable")
         self.word_bucket = bucket[self.word_order]
@@ -136,14 +178,14 @@ class _Block:
         before[np.cumsum(self.lengths) - self.lengths] = end
         keys, which = np.unique(before * len(self.known) + self.place, return_inverse=True)
         context, word = keys // len(self.known), keys % len(self.known)
-        bucket = mix(self.known[context]) % np.uint64(self.n_buckets)
+        bucket = mix(self.codes[context]) % np.uint64(self.n_buckets)
         if self.split:
             heavy = np.array(sorted(self.split), np.uint64)
-            at = np.minimum(np.searchsorted(heavy, self.known), len(heavy) - 1)
-            ways = np.where(heavy[at] == self.known, np.array([self.split[int(h)] for h in heavy], np.uint64)[at], np.uint64(1))
+            at = np.minimum(np.searchsorted(heavy, self.codes), len(heavy) - 1)
+            ways = np.where(heavy[at] == self.codes, np.array([self.split[int(h)] for h in heavy], np.uint64)[at], np.uint64(1))
             some = np.flatnonzero(ways[context] > 1)
-            part = self.known[word[some]] % ways[context[some]]
-            bucket[some] = mix(self.known[context[some]] + part * _STEP) % np.uint64(self.n_buckets)
+            part = mix(self.codes[word[some]]) % ways[context[some]]
+            bucket[some] = mix(self.codes[context[some]] + part * _STEP) % np.uint64(self.n_buckets)
         order = np.argsort(bucket, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -173,8 +215,8 @@ def _send_pairs(n_buckets: int, split: dict[int, int]) -> Callable:
                 for k, i, j in _slices(b.bucket):
                     starts = np.flatnonzero(np.diff(b.context[i:j], prepend=-1))
                     parts = [
-                        b.known[b.context[i:j][starts]].tobytes(), _pack(np.diff(starts, append=j - i)),
-                        b.known[b.word[i:j]].tobytes(), _pack(b.pair_counts[i:j]),
+                        _pack_codes(b.codes[b.context[i:j][starts]]), _pack(np.diff(starts, append=j - i)),
+                        _pack_codes(b.codes[b.word[i:j]]), _pack(b.pair_counts[i:j]),
                     ]
                     out.append((k, row["key"], "pairs", parts, None))
                 yield _batch(out)
@@ -205,31 +247,34 @@ def _word_step(seed: int, step: int, n_known: int, customers: float, tables: flo
     def run(group: pa.Table) -> pa.Table:
         rows = _rows(group)
         key = rows[0]["key"]
-        state = next((r for r in rows if r["kind"] == "word_state"), None)
-        if state is not None:
-            known, fixed, old = _hashes(state["parts"][0]), _unpack(state["parts"][1]), _unpack(state["parts"][2])
-            kept = np.frombuffer(state["parts"][3], np.float64)
+        one = {r["kind"]: r["parts"] for r in rows}
+        codes = _codes(_hashes(one["words"][0]))
+        out = []
+        if "word_fixed" in one:
+            fixed = _unpack(one["word_fixed"][0])
         else:
-            known = _hashes(next(r for r in rows if r["kind"] == "words")["parts"][0])
-            fixed, old, kept = np.zeros(len(known), np.int64), None, np.zeros(len(known))
+            fixed = np.zeros(len(codes), np.int64)
             for r in rows:
                 if r["kind"] == "singles":
-                    fixed[np.searchsorted(known, _hashes(r["parts"][0]))] += _unpack(r["parts"][1])
+                    fixed[np.searchsorted(codes, _unpack_codes(r["parts"][0]))] += _unpack(r["parts"][1])
+            out.append((key, 0, "word_fixed", [_pack(fixed)], None))
         here, asked = fixed.copy(), []
         for r in rows:
             if r["kind"] == "tables":
-                asked.append((r["src"], np.searchsorted(known, _hashes(r["parts"][0]))))
+                asked.append((r["src"], np.searchsorted(codes, _unpack_codes(r["parts"][0]))))
                 here[asked[-1][1]] += _unpack(r["parts"][1])
-        if old is None:
-            drawn = np.minimum(here, 1)
-        else:
+        kept = np.zeros(len(codes))
+        if "word_state" in one:
+            old, kept = _unpack(one["word_state"][0]), np.frombuffer(one["word_state"][1], np.float64)
             rng = np.random.default_rng([seed, step, 1, key])
-            uniform = np.full(len(known), 1 / (n_known + 1))
+            uniform = np.full(len(codes), 1 / (n_known + 1))
             drawn = P.draw_tables(here, uniform, np.maximum(tables - old, 0), discount, strength, rng)
+        else:
+            drawn = np.minimum(here, 1)
         own = (here - discount * drawn) / (strength + customers)
         kept = kept + own if keep else kept
         once, twice = float((here == 1).sum()), float((here == 2).sum())
-        out = [(key, 0, "word_state", [known.tobytes(), _pack(fixed), _pack(drawn), kept.tobytes()], [float(drawn.sum()), once, twice])]
+        out.append((key, 0, "word_state", [_pack(drawn), kept.tobytes()], [float(drawn.sum()), once, twice]))
         out += [(src, key, "replies", [own[at].tobytes()], None) for src, at in asked]
         return pa.Table.from_batches([_batch(out)])
 
@@ -241,13 +286,13 @@ def _answer_words(samples: int, rest: float) -> Callable:
 
     def run(group: pa.Table) -> pa.Table:
         rows = _rows(group)
-        own = np.frombuffer(next(r for r in rows if r["kind"] == "word_state")["parts"][3], np.float64) / samples
+        own = np.frombuffer(next(r for r in rows if r["kind"] == "word_state")["parts"][1], np.float64) / samples
         counts = _unpack(next(r for r in rows if r["kind"] == "words")["parts"][1])
         out = []
         for r in rows:
             if r["kind"] == "word_asks":
                 at = _unpack_rising(r["parts"][0])
-                out.append((r["src"], r["key"], "word_answers", [_pack(counts[at]), (own[at] + rest).astype(np.float32).tobytes()], None))
+                out.append((r["src"], r["key"], "word_answers", [_pack(counts[at]), _pack_values(own[at] + rest)], None))
         return pa.Table.from_batches([_batch(out)])
 
     return run
@@ -261,7 +306,7 @@ class _Contexts:
 
     def __init__(self, row: dict) -> None:
         hashes, sizes, counts, words, which = row["parts"]
-        self.hashes, self.counts, self.words, self.which = _hashes(hashes), _unpack(counts), _hashes(words), _unpack(which)
+        self.hashes, self.counts, self.words, self.which = _unpack_codes(hashes), _unpack(counts), _unpack_codes(words), _unpack(which)
         sizes = _unpack(sizes)
         self.context = np.repeat(np.arange(len(sizes)), sizes)
         self.n = len(sizes)
@@ -276,7 +321,7 @@ class _Contexts:
         """Tables of each word of frequent pairs, to the words' buckets."""
         sums = np.bincount(self.which, often, len(self.words)).astype(np.int64)
         bucket = (self.words % np.uint64(n_buckets)).astype(np.int64)
-        return [(k, key, "tables", [self.words[i:j].tobytes(), _pack(sums[i:j])], None) for k, i, j in _slices(bucket)]
+        return [(k, key, "tables", [_pack_codes(self.words[i:j]), _pack(sums[i:j])], None) for k, i, j in _slices(bucket)]
 
     def at(self, some: dict[int, object]) -> np.ndarray:
         """Which contexts are among ``some``."""
@@ -286,7 +331,7 @@ class _Contexts:
         at = self.at(split)
         if not len(at):
             return []
-        return [(key, 0, "split", [self.hashes[at].tobytes(), _pack(self.customers[at]), _pack(self.tables(often)[at])], None)]
+        return [(key, 0, "split", [_pack_codes(self.hashes[at]), _pack(self.customers[at]), _pack(self.tables(often)[at])], None)]
 
 
 def _by_word_bucket(words: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -298,9 +343,9 @@ def _gather_pairs(n_buckets: int, split: dict[int, int]) -> Callable:
     def run(group: pa.Table) -> pa.Table:
         rows = _rows(group)
         key = rows[0]["key"]
-        contexts = [_hashes(r["parts"][0]) for r in rows]
+        contexts = [_unpack_codes(r["parts"][0]) for r in rows]
         sizes = [_unpack(r["parts"][1]) for r in rows]
-        words = [_hashes(r["parts"][2]) for r in rows]
+        words = [_unpack_codes(r["parts"][2]) for r in rows]
         known, context = np.unique(np.concatenate(contexts), return_inverse=True)
         vocabulary, word = np.unique(np.concatenate(words), return_inverse=True)
         full = np.repeat(context, np.concatenate(sizes))
@@ -316,14 +361,14 @@ def _gather_pairs(n_buckets: int, split: dict[int, int]) -> Callable:
         number = np.zeros(len(vocabulary), np.int64)
         number[often] = np.arange(len(often))
         parts = [
-            known.tobytes(), _pack(np.bincount(pairs // len(vocabulary), minlength=len(known))), _pack(counts),
-            vocabulary[often].tobytes(), _pack(number[second[counts > 1]]),
+            _pack_codes(known), _pack(np.bincount(pairs // len(vocabulary), minlength=len(known))), _pack(counts),
+            _pack_codes(vocabulary[often]), _pack(number[second[counts > 1]]),
         ]
         once, n = np.unique(second[counts == 1], return_counts=True)
         order = _by_word_bucket(vocabulary[once], n_buckets)
         once, n = vocabulary[once[order]], n[order]
         bucket = (once % np.uint64(n_buckets)).astype(np.int64)
-        out += [(k, key, "singles", [once[i:j].tobytes(), _pack(n[i:j])], None) for k, i, j in _slices(bucket)]
+        out += [(k, key, "singles", [_pack_codes(once[i:j]), _pack(n[i:j])], None) for k, i, j in _slices(bucket)]
         row = (key, 0, "contexts", parts, [float((counts > 0).sum()), float((counts == 1).sum()), float((counts == 2).sum())])
         model = _Contexts({"parts": parts})
         ones = np.ones(len(model.often), np.int64)
@@ -343,11 +388,9 @@ def _context_step(
         row = next((r for r in rows if r["kind"] == "contexts"), None)
         key, model = row["key"], _Contexts(row)
         state = next((r for r in rows if r["kind"] == "context_state"), None)
+        often, kept = np.ones(len(model.often), np.int64), []
         if state is not None:
-            often = _unpack(state["parts"][0])
-            sums = [np.frombuffer(x, np.float64) for x in state["parts"][1:]]
-        else:
-            often, sums = np.ones(len(model.often), np.int64), [np.zeros(model.n), np.zeros(model.n), np.zeros(len(model.often))]
+            often, kept = _unpack(state["parts"][0]), state["parts"][1:]
         replies = [np.frombuffer(r["parts"][0], np.float64) for r in rows if r["kind"] == "replies"]
         parent = (np.concatenate(replies) if replies else np.zeros(0))[model.which] + rest
         mine = model.tables(often)
@@ -360,43 +403,42 @@ def _context_step(
         often, everywhere = P.draw_restaurants(
             model.context[model.often], model.counts[model.often], often, everywhere, parent, discount, strength, rng
         )
-        if keep:
-            part = 1 / (strength + customers)
-            sums = [
-                sums[0] + part, sums[1] + (strength + discount * everywhere) * part,
-                sums[2] + (model.counts[model.often] - discount * often) * part[model.context[model.often]],
-            ]
+        kept = [*kept, _pack(often)] if keep else kept
         scores = P.strength_scores(customers[~shared], everywhere[~shared], discount)
         total = float(model.tables(often).sum())
-        out = [(key, 0, "context_state", [_pack(often), *[s.tobytes() for s in sums]], [total, *map(float, scores)])]
+        out = [(key, 0, "context_state", [_pack(often), *kept], [total, *map(float, scores)])]
         out += [*model.messages(key, often, n_buckets), *model.split_totals(key, often, split)]
         return pa.Table.from_batches([_batch(out)])
 
     return run
 
 
-def _answer_pairs(samples: int, discount: float, split_shares: dict[int, float]) -> Callable:
+def _answer_pairs(discount: float, strengths: list[float], totals: list[dict[int, tuple[int, int]]]) -> Callable:
     """Each asked pair's own part of its probability, and each asked context's share for the parent.
 
-    The share of a split context comes from its tables in all buckets.
+    Averaged over the kept sweeps, whose strengths and totals of split contexts are given.
     """
 
     def run(group: pa.Table) -> pa.Table:
         rows = _rows(group)
         model = _Contexts(next(r for r in rows if r["kind"] == "contexts"))
-        state = next(r for r in rows if r["kind"] == "context_state")
-        # Without customers a context leaves everything to the parent: its share is 1.
-        part, share, often = (np.frombuffer(x, np.float64) / samples for x in state["parts"][1:])
-        own = np.where(model.counts == 1, (1 - discount) * part[model.context], 0.0)
-        own[model.often] = often
-        for i in model.at(split_shares):
-            share[i] = split_shares[int(model.hashes[i])] / samples
-        own, share = own.astype(np.float32), share.astype(np.float32)
+        own, share = np.zeros(len(model.counts)), np.zeros(model.n)
+        kept = next(r for r in rows if r["kind"] == "context_state")["parts"][1:]
+        for drawn, strength, split in zip(kept, strengths, totals, strict=True):
+            often = _unpack(drawn)
+            customers, tables = model.customers.copy(), model.tables(often)
+            for i in model.at(split):
+                customers[i], tables[i] = split[int(model.hashes[i])]
+            seats = model.counts - discount * np.minimum(model.counts, 1)
+            seats[model.often] = model.counts[model.often] - discount * often
+            own += seats / (strength + customers)[model.context] / len(kept)
+            # Without customers a context leaves everything to the parent: its share is 1.
+            share += (strength + discount * tables) / (strength + customers) / len(kept)
         out = []
         for r in rows:
             if r["kind"] == "pair_asks":
                 at, contexts = (_unpack_rising(x) for x in r["parts"])
-                out.append((r["src"], r["key"], "pair_answers", [own[at].tobytes(), share[contexts].tobytes()], None))
+                out.append((r["src"], r["key"], "pair_answers", [_pack_values(own[at]), _pack_values(share[contexts])], None))
         return pa.Table.from_batches([_batch(out)])
 
     return run
@@ -413,10 +455,10 @@ def _scores(n_buckets: int, split: dict[int, int], all_tokens: int, n_known: int
         counts, words = np.zeros(len(b.known), np.int64), np.zeros(len(b.known))
         answers = [r["parts"] for r in rows if r["kind"] == "word_answers"]
         counts[b.word_order] = np.concatenate([_unpack(x) for x, _ in answers])
-        words[b.word_order] = np.concatenate([np.frombuffer(x, np.float32) for _, x in answers])
+        words[b.word_order] = np.concatenate([_unpack_values(x) for _, x in answers])
         answers = [r["parts"] for r in rows if r["kind"] == "pair_answers"]
-        own = np.concatenate([np.frombuffer(x, np.float32) for x, _ in answers]).astype(np.float64)
-        shares = np.concatenate([np.frombuffer(x, np.float32) for _, x in answers]).astype(np.float64)
+        own = np.concatenate([_unpack_values(x) for x, _ in answers])
+        shares = np.concatenate([_unpack_values(x) for _, x in answers])
         heads = np.diff(b.bucket, prepend=-1).astype(bool) | np.diff(b.context, prepend=-1).astype(bool)
         probability = own + shares[np.cumsum(heads) - 1] * words[b.word]
         starts = np.cumsum(b.lengths) - b.lengths
@@ -440,7 +482,7 @@ class _Store:
 
     def put(self, packets: DataFrame, name: str) -> str:
         path = new_path(self.spark, name)
-        packets.write.partitionBy("kind").parquet(path)
+        packets.write.partitionBy("kind").option("compression", "zstd").parquet(path)
         self.paths.append(path)
         freed(self.spark)
         return path
@@ -469,7 +511,7 @@ def _split_totals(store: _Store, path: str, split: dict[int, int]) -> dict[int,
     out = dict.fromkeys(split, (0, 0))
     if split:
         for r in store.get(path, "split").select("parts").toLocalIterator():
-            for h, c, t in zip(_hashes(r.parts[0]), _unpack(r.parts[1]), _unpack(r.parts[2]), strict=True):
+            for h, c, t in zip(_unpack_codes(r.parts[0]), _unpack(r.parts[1]), _unpack(r.parts[2]), strict=True):
                 out[int(h)] = (out[int(h)][0] + int(c), out[int(h)][1] + int(t))
     return out
 
@@ -507,10 +549,13 @@ def score_documents(
         return path, store.sums(path, "word_state", 3)
 
     first = store.get(words, "words").unionByName(store.get(pairs, "singles", "tables"))
-    above, (tables, once, twice) = words_step(0, first, 0.0, False)
+    start, (tables, once, twice) = words_step(0, first, 0.0, False)
+    for kind in ("singles", "tables"):
+        dropped(spark, f"{pairs}/kind={kind}")
+    above = start
     rest = (upper_strength + upper_discount * tables) / (upper_strength + customers) / (n_known + 1)
     upper_discount = P.estimated_discount(once, twice)
-    kept_rest, kept_shares, below = 0.0, dict.fromkeys(split, 0.0), pairs
+    kept_rest, strengths, kept_totals, below = 0.0, [], [], pairs
     totals = _split_totals(store, pairs, split)
     for step in range(1, burn_in + samples + 1):
         keep = step > burn_in
@@ -524,23 +569,25 @@ def score_documents(
         customers, *scores = store.sums(below, "context_state", 1 + len(P.STRENGTHS))
         totals = _split_totals(store, below, split)
         if keep:
-            for h, (c, t) in totals.items():
-                kept_shares[h] += (strength + discount * t) / (strength + c)
+            strengths.append(strength)
+            kept_totals.append(totals)
         whole = np.array(list(totals.values()), np.int64).reshape(-1, 2)
         strength = P.draw_strength(np.array(scores) + P.strength_scores(whole[:, 0], whole[:, 1], discount), rng)
-        new_above, (tables, *_) = words_step(step, store.get(above, "word_state").unionByName(store.get(below, "tables")), tables, keep)
-        store.drop(above)
+        inputs = store.get(words, "words").unionByName(store.get(start, "word_fixed")).unionByName(store.get(above, "word_state"))
+        new_above, (tables, *_) = words_step(step, inputs.unionByName(store.get(below, "tables")), tables, keep)
+        if above != start:
+            store.drop(above)
         above = new_above
         rest = (upper_strength + upper_discount * tables) / (upper_strength + customers) / (n_known + 1)
         kept_rest += rest if keep else 0.0
         upper_strength = P.draw_strength(P.strength_scores(np.array([customers]), np.array([tables]), upper_discount), rng)
 
     answers = store.put(
-        _grouped(store.get(pairs, "contexts", "pair_asks").unionByName(store.get(below, "context_state")), _answer_pairs(samples, discount, kept_shares))
+        _grouped(store.get(pairs, "contexts", "pair_asks").unionByName(store.get(below, "context_state")), _answer_pairs(discount, strengths, kept_totals))
         .unionByName(_grouped(store.get(words, "words", "word_asks").unionByName(store.get(above, "word_state")), _answer_words(samples, kept_rest / samples))),
         "answers",
     )
-    store.drop(pairs, words, above, below)
+    store.drop(pairs, words, start, above, below)
     asked = store.get(texts, "text").unionByName(store.get(answers, "word_answers", "pair_answers"))
     path = new_path(spark, "scores")
     _grouped(asked, _scores(n_buckets, split, all_tokens, n_known), _RESULT).write.parquet(path)
@@ -560,10 +607,10 @@ def _heavy_contexts(words: DataFrame, all_tokens: int, n_buckets: int) -> dict[i
             for row in _rows(batch):
                 hashes, counts = _hashes(row["parts"][0]), _unpack(row["parts"][1])
                 at = np.flatnonzero(counts > least)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array(counts[at])], names=["word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_codes(hashes[at]).astype(np.int64)), pa.array(counts[at])], names=["word", "n"])
 
     found = words.mapInArrow(run, "word bigint, n bigint").collect()
-    return {r.word % (1 << 64): math.ceil(r.n / least) for r in found}
+    return {r.word: math.ceil(r.n / least) for r in found}
 
 
 def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
