@@ -39,6 +39,9 @@ from nightgrid.llm.words import blocks, byte_tables, find_words, mix
 END = np.uint64(0x5BD1E995D3A2646C)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
+#: Blocks meet their answers in so many portions, so that the disk holds one portion's shuffle at a time.
+PORTIONS = 4
+
 PACKET = "key bigint, src bigint, kind string, parts array<binary>, nums array<double>"
 _NAMES = ["key", "src", "kind", "parts", "nums"]
 _RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -590,7 +593,10 @@ def score_documents(
     store.drop(pairs, words, start, above, below)
     asked = store.get(texts, "text").unionByName(store.get(answers, "word_answers", "pair_answers"))
     path = new_path(spark, "scores")
-    _grouped(asked, _scores(n_buckets, split, all_tokens, n_known), _RESULT).write.parquet(path)
+    for portion in range(PORTIONS):
+        some = asked.where(F.pmod(F.xxhash64("key"), F.lit(PORTIONS)) == portion)
+        _grouped(some, _scores(n_buckets, split, all_tokens, n_known), _RESULT).write.mode("append").parquet(path)
+        freed(spark)
     store.drop(texts, answers)
     found = spark.read.schema(_RESULT).parquet(path)
     return found.withColumn("train_tokens", F.lit(all_tokens).cast("long"))
