@@ -72,6 +72,19 @@ def _(spark, sf_dir):
     return exports.load_recursive_dir(spark, root, glob="*.csv").rows.select(*_READ)
 
 
+@query(
+    "load_broken_lines",
+    on_raw("""SELECT in_file, n, date, auto_id || chr(10) || 'checked "twice", ' || chr(10) || in_file AS note
+      FROM vraw WHERE kind = 3 AND TRY_CAST(n AS DOUBLE) > 0"""),
+)
+def _(spark, sf_dir):
+    text = F.format_string('%s\nchecked "twice", \n%s', "auto_id", "in_file")
+    rows = raw_exports(spark, sf_dir).where("kind = 3").select("in_file", "n", "date", text.alias("note"))
+    root = scratch_path(spark, "broken")
+    rows.write.option("header", True).option("escape", '"').csv(root)
+    return exports.load_flat_dir(spark, root).rows.select("in_file", "n", "date", "note")
+
+
 @query(
     "union_sources",
     on_raw("""

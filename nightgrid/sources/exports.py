@@ -19,6 +19,7 @@ from nightgrid.operators.ingest import (
     filter_positive_n,
     positive_n,
 )
+from nightgrid.sources import quoted
 from nightgrid.sources.files import probe_headers, split_header
 from nightgrid.sources.names import clean_names
 
@@ -46,19 +47,36 @@ def read_all_string_csv(
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     return (
-        reader.option("header", True)
-        .option("mode", "PERMISSIVE")
+        reader.options(**_FIELDS)
+        .option("header", True)
         .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("nullValue", "NA")
-        .option("emptyValue", "NA")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
         .option("ignoreCorruptFiles", skip_corrupt)
         .csv(paths)
     )
 
 
+#: How fields are read, whether by Spark's reader of files or from single records.
+_FIELDS = {
+    "mode": "PERMISSIVE", "escape": '"', "nullValue": "NA", "emptyValue": "NA",
+    "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+}
+
+
+def _read_broken_records(
+    spark: SparkSession, root: str, inside: dict, width: int, source_rank: int, skip_corrupt: bool, glob: str, recursive: bool
+) -> DataFrame:
+    """As ``with_provenance(read_all_string_csv(...))``, for files with line breaks inside quotes."""
+    found = quoted.records(spark, root, inside, glob, recursive, skip_corrupt)
+    schema = ", ".join(f"_{i} string" for i in range(width))
+    fields = F.from_csv("record", schema, {**_FIELDS, "maxCharsPerColumn": "-1"})
+    position = F.struct(
+        F.lit(source_rank).alias("source_rank"), "path", F.col("split").alias("split_start"), "row",
+    )
+    return found.select(fields.alias("fields"), F.col("name").alias("source_file"), position.alias("_read_order")).select(
+        "fields.*", "source_file", "_read_order"
+    )
+
+
 def with_provenance(df: DataFrame, source_rank: int = 0) -> DataFrame:
     """Add the file's base name and the position of the row in reading order.
 
@@ -101,13 +119,16 @@ def read_exports(
     recursive: bool = False,
     source_rank: int = 0,
     keep_invalid: bool = False,
-    multi_line: bool = False,
+    line_breaks: bool = True,
     skip_corrupt: bool = False,
 ) -> Exports:
     """Read all matching files below ``root``.
 
     One job looks at the headers; the driver gets each distinct header with its number
     of files.  Files that can't be read are left out, with a warning, and listed.
+
+    Values may hold line breaks inside quotes: one more look at the files finds out whether any
+    does (``line_breaks=False`` saves it for files known to have none).  Files stay splittable either way.
     """
     probed = probe_headers(spark, root, glob, recursive)
     files = probed.select("path", "status")
@@ -120,10 +141,12 @@ def read_exports(
         return Exports(None, files)
     columns, layouts = _layouts(headers)
     width = 1 + max(max(places) for _, places, _, _ in layouts)
-    raw = read_all_string_csv(
-        spark, root, [f"_{i}" for i in range(width)], multi_line, skip_corrupt, glob, recursive
-    )
-    raw = with_provenance(raw, source_rank)
+    inside = quoted.open_splits(spark, root, glob, recursive, skip_corrupt) if line_breaks else None
+    if inside is None:
+        raw = read_all_string_csv(spark, root, [f"_{i}" for i in range(width)], False, skip_corrupt, glob, recursive)
+        raw = with_provenance(raw, source_rank)
+    else:
+        raw = _read_broken_records(spark, root, inside, width, source_rank, skip_corrupt, glob, recursive)
     if len(counts) == 1:
         _, places, has_n, single = layouts[0]
         facts = {"_has_n": F.lit(has_n), "_single": F.lit(single)}

@@ -7,9 +7,9 @@ import pytest
 from nightgrid.catalog import QUERIES, bases
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON = ("FlatMapGroupsInPandas", "MapInPandas", "ArrowEvalPython", "BatchEvalPython")
+PYTHON = ("FlatMapGroupsIn", "FlatMapCoGroupsIn", "MapInPandas", "MapInArrow", "ArrowEvalPython", "BatchEvalPython")
 # Blocks of detectors, and the look at the headers of files.
-WITH_PANDAS = {"pairwise_correlation", "detector_correlation", "load_flat_dir", "load_recursive_dir", "union_sources"}
+WITH_PANDAS = {"pairwise_correlation", "detector_correlation", "load_broken_lines", "load_flat_dir", "load_recursive_dir", "union_sources"}
 
 
 def plan(df) -> str:
