@@ -307,11 +307,13 @@ def _(spark, sf_dir):
 
 @query(
     "calls_per_hour_histogram",
-    on_grid(f"""
-    SELECT CAST(ceil(CallsPerHour / 0.1 - 0.5) AS BIGINT) * 0.1::DOUBLE AS bin_center, COUNT(*) AS n,
+    on_grid(f""",
+    bins AS (SELECT CAST(ceil(CallsPerHour / 0.1 - 0.5) AS BIGINT) AS b FROM cpn WHERE CallsPerHour IS NOT NULL)
+    SELECT h.b * 0.1::DOUBLE AS bin_center, COALESCE(c.n, 0) AS n,
       (SELECT {rr('avg(CallsPerHour)')} FROM cpn) AS mean_cph,
       (SELECT {rr('median(CallsPerHour)')} FROM cpn) AS median_cph
-    FROM cpn WHERE CallsPerHour IS NOT NULL GROUP BY 1"""),
+    FROM (SELECT unnest(generate_series((SELECT MIN(b) FROM bins), (SELECT MAX(b) FROM bins))) AS b) h
+    LEFT JOIN (SELECT b, COUNT(*) AS n FROM bins GROUP BY 1) c USING (b)"""),
 )
 def _(spark, sf_dir):
     bins = chart_temporal.calls_per_hour_histogram(final_grid(spark, sf_dir), binwidth=0.1)

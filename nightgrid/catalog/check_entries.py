@@ -8,7 +8,7 @@ from nightgrid.catalog.bases import (
     CONFIG, detections, final_grid, master, on_grid, on_master, on_raw, pct, raw_exports, rr, sparse_grid,
     table, versioned_raw,
 )
-from nightgrid.catalog.grid_entries import _NAMES, _ids, nation_names
+from nightgrid.catalog.grid_entries import _ids, nation_names
 from nightgrid.catalog.registry import query
 from nightgrid.catalog.summary_entries import HOURLY_COPIES, hourly_copies
 from nightgrid.operators import contracts, grid, profile
@@ -44,7 +44,9 @@ def _(spark, sf_dir):
       SELECT 'in_file', COUNT(*), COUNT(*) FILTER (in_file IS NULL) FROM raw)"""),
 )
 def _(spark, sf_dir):
-    return contracts.null_report(raw_exports(spark, sf_dir), ["n", "alternate_1", "in_file"])
+    raw = raw_exports(spark, sf_dir)
+    contracts.require_not_null(raw, ["in_file"])
+    return contracts.null_report(raw, ["n", "alternate_1", "in_file"])
 
 
 @query("cpn_contract", on_grid("SELECT Status, COUNT(*) AS n_nights FROM cpn GROUP BY 1"))
@@ -60,28 +62,44 @@ def _(spark, sf_dir):
     return per_detector.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_detectors"))
 
 
+def shared_names(spark, sf_dir):
+    """As ``nation_names``, but the first five detectors share two names, but for the placeholder's."""
+    key = F.substring("detector_id", 2, 6).cast("int")
+    shared = F.when((key < 5) & (key != 3), F.concat(F.lit("Site "), (key % 2).cast("string")))
+    return nation_names(spark, sf_dir).withColumn("Detector", F.coalesce(shared, "Detector"))
+
+
+_SHARED_NAMES = """,
+names AS (
+  SELECT 'D' || lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS detector_id,
+         CASE WHEN n_nationkey = 3 THEN 'ENTER_NAME_HERE' WHEN n_nationkey < 5 THEN 'Site ' || (n_nationkey % 2) ELSE n_name END AS name
+  FROM nation)"""
+
+
 @query(
     "mapping_quality",
-    on_master(_NAMES + """
+    on_master(_SHARED_NAMES + """
     SELECT m.Detector AS detector_id, n.name AS Detector, m.k AS total_detections,
       n.name IS NOT NULL AND n.name <> 'ENTER_NAME_HERE' AS mapped,
-      coalesce(n.name = 'ENTER_NAME_HERE', FALSE) AS is_placeholder, FALSE AS duplicate_name
+      coalesce(n.name = 'ENTER_NAME_HERE', FALSE) AS is_placeholder,
+      n.name IS NOT NULL AND n.name <> 'ENTER_NAME_HERE' AND COUNT(*) OVER (PARTITION BY n.name) > 1 AS duplicate_name
     FROM (SELECT Detector, COUNT(*) AS k FROM master GROUP BY 1) m LEFT JOIN names n ON n.detector_id = m.Detector"""),
 )
 def _(spark, sf_dir):
-    return profile.mapping_quality(_ids(spark, sf_dir), nation_names(spark, sf_dir))
+    return profile.mapping_quality(_ids(spark, sf_dir), shared_names(spark, sf_dir))
 
 
 @query(
     "mapping_summary",
-    on_master(_NAMES + """
-    SELECT COUNT(*) FILTER (n.name = 'ENTER_NAME_HERE') AS placeholders_remaining, FALSE AS duplicate_names_detected,
+    on_master(_SHARED_NAMES + """
+    SELECT COUNT(*) FILTER (n.name = 'ENTER_NAME_HERE') AS placeholders_remaining,
+      COUNT(DISTINCT n.name) FILTER (n.name <> 'ENTER_NAME_HERE') < COUNT(*) FILTER (n.name <> 'ENTER_NAME_HERE') AS duplicate_names_detected,
       COUNT(*) FILTER (n.name IS NULL OR n.name = 'ENTER_NAME_HERE') = 0 AS all_detectors_mapped
     FROM (SELECT DISTINCT Detector FROM master) m LEFT JOIN names n ON n.detector_id = m.Detector"""),
 )
 def _(spark, sf_dir):
     return profile.mapping_summary(
-        profile.mapping_quality(_ids(spark, sf_dir), nation_names(spark, sf_dir))
+        profile.mapping_quality(_ids(spark, sf_dir), shared_names(spark, sf_dir))
     )
 
 

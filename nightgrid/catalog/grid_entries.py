@@ -246,6 +246,56 @@ def _(spark, sf_dir):
     return grid.effort_grid(sparse_grid(spark, sf_dir))
 
 
+def stray_grid(spark, sf_dir):
+    """The sparse grid with rows far outside the study."""
+    found = sparse_grid(spark, sf_dir).select("Detector", "Night", "RecordingHours")
+    stray = found.where("Detector = 'Detector_1'").select(
+        "Detector", F.explode(F.array(F.lit("0001-01-01").cast("date"), F.lit("2999-12-31").cast("date"))).alias("Night"), F.lit(1.0).alias("RecordingHours")
+    )
+    return found.unionByName(stray.distinct())
+
+
+_RUNS = """, own AS (SELECT DISTINCT Detector, Night FROM sparse),
+    runs AS (SELECT Detector, MIN(Night) AS first, MAX(Night) AS last, COUNT(*) AS n_nights FROM (
+      SELECT *, Night - CAST(row_number() OVER (PARTITION BY Detector ORDER BY Night) AS INTEGER) AS island FROM own)
+      GROUP BY Detector, island)"""
+
+
+@query("night_runs", on_grid(_RUNS + " SELECT * FROM runs"))
+def _(spark, sf_dir):
+    return grid.night_runs(sparse_grid(spark, sf_dir))
+
+
+@query(
+    "nights_outside",
+    on_grid("""SELECT Detector, d AS first, d AS last, CAST(1 AS INTEGER) AS n_nights, side FROM
+      (SELECT DISTINCT Detector FROM sparse WHERE Detector = 'Detector_1'),
+      (VALUES (DATE '0001-01-01', 'before'), (DATE '2999-12-31', 'after')) v(d, side)"""),
+)
+def _(spark, sf_dir):
+    return grid.nights_outside(stray_grid(spark, sf_dir), CONFIG.start_date, CONFIG.end_date)
+
+
+@query(
+    "missing_runs",
+    on_grid("""SELECT Detector, MIN(Night) AS first, MAX(Night) AS last, CAST(COUNT(*) AS INTEGER) AS n_nights FROM (
+      SELECT s.Detector, s.Night, s.Night - CAST(row_number() OVER (PARTITION BY s.Detector ORDER BY s.Night) AS INTEGER) AS island
+      FROM spine s WHERE NOT EXISTS (SELECT 1 FROM sparse p WHERE p.Detector = s.Detector AND p.Night = s.Night))
+      GROUP BY Detector, island"""),
+)
+def _(spark, sf_dir):
+    return grid.missing_runs(stray_grid(spark, sf_dir), CONFIG.start_date, CONFIG.end_date)
+
+
+@query(
+    "effort_grid_of_study",
+    on_grid("""SELECT s.Detector, s.Night, p.RecordingHours
+      FROM spine s LEFT JOIN sparse p ON p.Detector = s.Detector AND p.Night = s.Night"""),
+)
+def _(spark, sf_dir):
+    return grid.effort_grid(stray_grid(spark, sf_dir), CONFIG.start_date, CONFIG.end_date)
+
+
 @query(
     "pairwise_correlation",
     on_grid(f""", good AS (SELECT Detector FROM sparse GROUP BY 1 HAVING stddev_samp(CallsPerNight) > 0),

@@ -92,3 +92,6 @@ DATE_PATTERNS = {
     "DD-MM-YYYY": r"^\d{2}-\d{2}-\d{4}",
     "Other": r".*",
 }
+
+#: Nights that a study spans at most where its dates are taken from the data.
+MAX_STUDY_NIGHTS = 36_600

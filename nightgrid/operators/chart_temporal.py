@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from nightgrid.functions.times import iso_week, month_floor, week_floor
 from nightgrid.operators.condense import n_calls
-from nightgrid.operators.quantiles import exact_median
+from nightgrid.operators.quantiles import exact_percentiles
 from nightgrid.operators.reshape import completed_hours
 from nightgrid.operators.summaries import sum_or_zero
+from nightgrid.sources.scratch import materialize
 
 DEFAULT_BINS = 30
+#: Empty bins on end of a histogram.
+MAX_BINS = 100_000
 
 
 def cumulative_calls_by_detector(grid: DataFrame) -> DataFrame:
@@ -55,28 +58,37 @@ def hourly_profile(master: DataFrame, metric: str = "total") -> DataFrame:
     return full.withColumn("peak_hour", peak)
 
 
-def calls_per_hour_histogram(grid: DataFrame, binwidth: float | None = None) -> DataFrame:
+def calls_per_hour_histogram(grid: DataFrame, binwidth: float | None = None, empty_bins: bool = True) -> DataFrame:
     """Counts per bin of the hourly rate, with the mean and median of all rates.
 
     Bins are closed on the right.  A given width centres bins on its multiples;
-    without one, 30 bins run from the smallest to the largest rate.
+    without one, 30 bins run from the smallest to the largest rate.  Bins between others
+    that have no rate count 0; ``MAX_BINS`` of them are an error, which ``empty_bins=False`` avoids.
+
+    The rates are scanned once and counted per value; all else comes from these counts.
     """
     rates = grid.select(F.col("CallsPerHour").cast("double").alias("x")).where(
         F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf"))
     )
+    values = materialize(rates.groupBy("x").agg(F.count("*").alias("n")), "rates")
+    facts = values.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"))).scalar()
     if binwidth is None:
-        low = rates.agg(F.min("x")).scalar()
-        spread = rates.agg((F.max("x") - F.min("x")) / (DEFAULT_BINS - 1)).scalar()
-        width = F.when(spread > 0, spread).otherwise(F.lit(0.1))
+        spread = (facts["high"] - facts["low"]) / (DEFAULT_BINS - 1)
+        low, width = facts["low"], F.when(spread > 0, spread).otherwise(F.lit(0.1))
     else:
         low, width = F.lit(0.0), F.lit(float(binwidth))
     step = F.ceil((F.col("x") - low) / width - 0.5)
-    bins = rates.groupBy(step.alias("bin")).agg(F.count("*").alias("n"))
+    bins = values.groupBy(step.alias("bin")).agg(F.sum("n").alias("n"))
+    if empty_bins:
+        following = F.coalesce(F.lead("bin").over(Window.orderBy("bin")), F.col("bin") + 1)
+        gaps = bins.select("bin", "n", following.alias("next"))
+        too_many = F.col("next") - F.col("bin") > MAX_BINS
+        end = F.when(too_many, F.raise_error(F.lit("too many empty bins; give a larger width"))).otherwise(F.col("next") - 1)
+        unfolded = gaps.select(F.col("bin").alias("own"), "n", F.explode(F.sequence("bin", end)).alias("bin"))
+        bins = unfolded.select("bin", F.when(F.col("bin") == F.col("own"), F.col("n")).otherwise(0).alias("n"))
+    median = exact_percentiles(values, {"x": [0.5]}, weight="n").scalar()
     return bins.select(
-        (low + F.col("bin") * width).alias("bin_center"),
-        "n",
-        rates.agg(F.avg("x")).scalar().alias("mean_cph"),
-        exact_median(rates, "x").alias("median_cph"),
+        (low + F.col("bin") * width).alias("bin_center"), "n", facts["mean"].alias("mean_cph"), median.alias("median_cph")
     )
 
 

@@ -32,7 +32,11 @@ def night_span(df: DataFrame) -> tuple[Column, Column]:
 def _bounds(
     df: DataFrame, start_date: str | None, end_date: str | None
 ) -> tuple[Column, Column]:
-    """The study dates as literals; a missing one is looked up in the data."""
+    """The study dates as literals; a missing one is looked up in the data.
+
+    Dates from the data that lie more than ``MAX_STUDY_NIGHTS`` apart are an error: a single wrong date
+    would unfold a night for each day up to it, for every detector.
+    """
     first = last = None
     if start_date is None or end_date is None:
         first, last = night_span(df)
@@ -40,9 +44,52 @@ def _bounds(
         first = F.lit(start_date).cast("date")
     if end_date is not None:
         last = F.lit(end_date).cast("date")
+    if start_date is None or end_date is None:
+        text = F.concat(F.lit("nights from "), first.cast("string"), F.lit(" to "), last.cast("string"), F.lit(": give the study dates"))
+        wrong = F.datediff(last, first) > K.MAX_STUDY_NIGHTS
+        last = F.when(wrong, F.raise_error(text).cast("date")).otherwise(last)
     return first, last
 
 
+def night_runs(rows: DataFrame) -> DataFrame:
+    """(Detector, first, last, n_nights): nights on end of each detector as one row.
+
+    A study of any length is as many rows as it has interruptions.
+    """
+    nights = rows.where(F.col("Detector").isNotNull() & F.col("Night").isNotNull()).select(*KEYS).distinct()
+    place = F.row_number().over(Window.partitionBy("Detector").orderBy("Night"))
+    island = nights.withColumn("_island", F.date_sub("Night", place))
+    return island.groupBy("Detector", "_island").agg(
+        F.min("Night").alias("first"), F.max("Night").alias("last"), F.count("*").alias("n_nights")
+    ).drop("_island")
+
+
+def nights_outside(rows: DataFrame, start_date: str, end_date: str) -> DataFrame:
+    """The parts of runs that lie before or after the study dates: (Detector, first, last, n_nights, side)."""
+    start, end = F.lit(start_date).cast("date"), F.lit(end_date).cast("date")
+    early = F.struct(F.col("first"), F.least("last", F.date_sub(start, 1)).alias("last"), F.lit("before").alias("side"))
+    late = F.struct(F.greatest("first", F.date_add(end, 1)).alias("first"), F.col("last"), F.lit("after").alias("side"))
+    parts = night_runs(rows).select("Detector", F.inline(F.array(early, late))).where(F.col("first") <= F.col("last"))
+    return parts.select("Detector", "first", "last", (F.datediff("last", "first") + 1).alias("n_nights"), "side")
+
+
+def missing_runs(rows: DataFrame, start_date: str, end_date: str) -> DataFrame:
+    """Nights on end that a detector lacks within the study dates: (Detector, first, last, n_nights).
+
+    Every detector of ``rows`` is there, also one without any night; nothing is unfolded.
+    """
+    start, end = F.lit(start_date).cast("date"), F.lit(end_date).cast("date")
+    detectors = rows.where(F.col("Detector").isNotNull()).select("Detector").distinct()
+    inside = night_runs(rows).where((F.col("last") >= start) & (F.col("first") <= end))
+    # The study's edges are runs without a night, and gaps lie between neighbours.
+    edges = detectors.select("Detector", F.date_sub(start, 1).alias("first"), F.date_sub(start, 1).alias("last"))
+    runs = inside.select("Detector", F.greatest("first", start).alias("first"), "last").unionByName(edges)
+    following = F.lead("first").over(Window.partitionBy("Detector").orderBy("first"))
+    gaps = runs.select("Detector", F.date_add("last", 1).alias("first"), F.least(F.date_sub(following, 1), end).alias("last"))
+    gaps = gaps.withColumn("last", F.coalesce("last", end)).where(F.col("first") <= F.col("last"))
+    return gaps.withColumn("n_nights", F.datediff("last", "first") + 1)
+
+
 def detector_nights(
     rows: DataFrame, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
@@ -193,13 +240,15 @@ def has_effort() -> Column:
     return F.coalesce(F.col("RecordingHours") > 0, F.lit(False))
 
 
-def complete_grid_coverage(grid: DataFrame, week_start: str = "sunday") -> DataFrame:
-    """Every detector and night of the span with a flag "has data", and its week."""
+def complete_grid_coverage(
+    grid: DataFrame, week_start: str = "sunday", start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
+    """Every detector and night of the study dates, or of the span, with a flag "has data", and its week."""
     known = grid.groupBy(*KEYS).agg(F.bool_or(has_effort()).alias("has_data"))
     week = week_floor("Night", week_start).alias("week")
-    return fill_nights(known, {"has_data": False}).select(*KEYS, "has_data", week)
+    return fill_nights(known, {"has_data": False}, start_date, end_date).select(*KEYS, "has_data", week)
 
 
-def effort_grid(grid: DataFrame) -> DataFrame:
-    """Every detector and night of the span with its hours, NULL where no row is."""
-    return fill_nights(grid, {"RecordingHours": None})
+def effort_grid(grid: DataFrame, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+    """Every detector and night of the study dates, or of the span, with its hours, NULL where no row is."""
+    return fill_nights(grid, {"RecordingHours": None}, start_date, end_date)

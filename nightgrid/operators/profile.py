@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from nightgrid import constants as K
 from nightgrid.functions.numbers import percent
 from nightgrid.functions.times import dashed, matching_date_patterns, parse_dashed
+from nightgrid.operators.heavy import count_in_group
 from nightgrid.operators.mapping import distinct_values
 from nightgrid.operators.reshape import rows_in_group, share_of_total
 
@@ -97,10 +98,8 @@ def mapping_quality(df: DataFrame, names: DataFrame) -> DataFrame:
     """Per raw id: its name, detections, and whether the name is a placeholder or shared."""
     per_id = df.groupBy("detector_id").agg(F.count("*").alias("total_detections"))
     joined = per_id.join(names.select("detector_id", "Detector"), "detector_id", "left")
-    same = joined.where(F.col("Detector").isNotNull()).groupBy("Detector").agg(
-        F.count("*").alias("_same")
-    )
-    joined = joined.join(same, "Detector", "left")
+    # Ids without a name share NULL, which may be most of them.
+    joined = count_in_group(joined, ["Detector"], "_same")
     placeholder = F.coalesce(F.col("Detector") == K.NAME_PLACEHOLDER, F.lit(False))
     named = F.col("Detector").isNotNull() & ~placeholder
     return joined.select(
@@ -122,16 +121,17 @@ def mapping_summary(quality: DataFrame) -> DataFrame:
 def temporal_completeness(expected: DataFrame, grid: DataFrame, intended_hours: float) -> DataFrame:
     """Missing and partial detector nights, with expected and actual hours.
 
-    ``expected`` holds the (Detector, Night) pairs that should be there.
+    ``expected`` holds the (Detector, Night) pairs that should be there.  A night without a status is Unknown.
     """
     intended = F.lit(float(intended_hours)).alias("expected_hours")
     absent = expected.join(grid, ["Detector", "Night"], "left_anti").select(
         "Detector", "Night", F.lit("NoData").alias("status"), intended,
         F.lit(0.0).alias("actual_hours"),
     )
-    failed = grid.where(F.col("Status") != "Success").select(
+    status = F.coalesce("Status", F.lit("Unknown"))
+    failed = grid.where(status != "Success").select(
         "Detector", "Night",
-        F.when(F.col("Status") == "Fail", "NoData").otherwise(F.col("Status")).alias("status"),
+        F.when(status == "Fail", "NoData").otherwise(status).alias("status"),
         intended, F.col("RecordingHours").alias("actual_hours"),
     )
     return absent.unionByName(failed)

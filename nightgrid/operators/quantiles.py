@@ -1,48 +1,40 @@
 """Exact quantiles of whole columns of a large table.
 
-``percentile`` without a group gathers all distinct values in one task.  Here the
-values are counted per value, then per bucket of neighbouring values; only the
-buckets that hold the wanted ranks are sorted, each on its own.
+``percentile`` without a group gathers all distinct values in one task.  Here equal values
+are counted first; the distinct ones are then ranged by sampled splitters, each task sorts its
+range, and only the ranges' totals are carried on, so the rows of the wanted ranks are known by their running
+counts.  No task holds more than its range, wherever the values lie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-_BUCKETS_PER_OCTAVE = 256
+from nightgrid.operators.running import running_folds
 
 
-def _bucket(value: Column) -> Column:
-    """A non-decreasing function of the value, 256 steps per doubling."""
-    step = F.floor(F.log2(F.abs(value) + 1) * _BUCKETS_PER_OCTAVE)
-    return F.when(value < 0, -step).otherwise(step)
-
-
-def exact_percentiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
+def exact_percentiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], weight: str | None = None) -> DataFrame:
     """One row with a column <name>_p<i> per column and probability.
 
-    Interpolates linearly between neighbours (type 7).  NULL and NaN are left out.
-    All columns go through one scan and one shuffle.
+    Interpolates linearly between neighbours (type 7).  NULL and NaN are left out.  ``weight``
+    names a column that says how often each row counts.  All columns go through one scan; distinct values and
+    their running counts are written once.
     """
     cells = [
         F.struct(F.lit(name).alias("k"), F.col(name).cast("double").alias("v"))
         for name in wanted
     ]
+    times = F.lit(1) if weight is None else F.col(weight)
     values = (
-        df.select(F.inline(F.array(*cells)))
+        df.select(times.cast("long").alias("_times"), F.inline(F.array(*cells)))
         .where(F.col("v").isNotNull() & ~F.isnan("v"))
         .groupBy("k", "v")
-        .agg(F.count("*").alias("n"))
-        .withColumn("b", _bucket(F.col("v")))
-    )
-    name = Window.partitionBy("k")
-    upto = F.sum("m").over(name.orderBy("b"))
-    buckets = values.groupBy("k", "b").agg(F.sum("n").alias("m")).select(
-        "k", "b", (upto - F.col("m")).alias("before"), upto.alias("through"),
-        F.sum("m").over(name).alias("total"),
+        .agg(F.sum("_times").alias("n"))
     )
+    placed = running_folds(values, ["k"], ["v"], {"end": (F.col("n"), "sum")}, "value-counts")
+    totals = placed.groupBy("k").agg(F.max("end").alias("total"))
 
     def position(p: float) -> Column:
         return (F.col("total") - 1) * F.lit(float(p))
@@ -53,13 +45,9 @@ def exact_percentiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> D
     ranks = F.lit(None).cast("array<bigint>")
     for column, probs in wanted.items():
         ranks = F.when(F.col("k") == column, F.array_distinct(both_ranks(probs))).otherwise(ranks)
-    buckets = buckets.withColumn("ranks", ranks).withColumn(
-        "ranks",
-        F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("through"))),
-    ).where(F.size("ranks") > 0)
-    inside = values.join(buckets, ["k", "b"])
-    end = F.col("before") + F.sum("n").over(Window.partitionBy("k", "b").orderBy("v"))
-    placed = inside.withColumn("end", end).withColumn("start", F.col("end") - F.col("n"))
+    # One row for each column.
+    totals = totals.select("k", "total", ranks.alias("ranks"))
+    placed = placed.join(F.broadcast(totals), "k").withColumn("start", F.col("end") - F.col("n"))
     hit = F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("end")))
     found = placed.select("k", "v", "total", F.explode(hit).alias("rank"))
 

@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightgrid import constants as K
 from nightgrid.functions.numbers import fixed, percent, round_columns, round_nearest
+from nightgrid.operators.heavy import count_in_group
+from nightgrid.operators.running import running_folds
+
+#: Labels whose presence a left label keeps in one row.
+LABEL_BLOCK = 4096
 
 
 def top_n_per_group(
@@ -87,11 +92,27 @@ def completed(
 ) -> DataFrame:
     """All combinations of the two labels found in ``counts``; new ones filled with 0.
 
-    The right-hand labels (codes, bins) are few, and each left label unfolds them.
+    Right-hand labels are numbered.  Each left label keeps the numbers it has, block by
+    block, and unfolds those it lacks; rows that are there are not joined to anything.
+    A row without a right-hand label is left out.
     """
-    labels = counts.agg(F.collect_set(right)).scalar()
-    spine = counts.select(left).distinct().select(left, F.explode(labels).alias(right))
-    return spine.join(counts, [left, right], "left").na.fill(0, list(fill))
+    rows = counts.where(F.col(right).isNotNull())
+    distinct = rows.select(right).distinct().withColumn("_all", F.lit(1))
+    numbered = running_folds(distinct, ["_all"], [right], {"_code": (F.lit(1), "sum")}, "labels").drop("_all")
+    n = numbered.count()
+    block = F.floor(F.col("_code") / LABEL_BLOCK)
+    present = rows.join(numbered, right).groupBy(left, block.alias("_block")).agg(F.collect_set("_code").alias("_present"))
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n // LABEL_BLOCK).cast("long"))).alias("_block")
+    spine = rows.select(left).distinct().select(left, blocks)
+    same = spine[left].eqNullSafe(present[left]) & (spine["_block"] == present["_block"])
+    first = F.greatest(F.col("_block") * LABEL_BLOCK, F.lit(1))
+    last = F.least((F.col("_block") + 1) * LABEL_BLOCK - 1, F.lit(n))
+    every = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    absent = spine.join(present, same, "left").select(spine[left], spine["_block"], "_present").select(
+        left, F.explode(F.array_except(every, F.coalesce("_present", F.array().cast("array<bigint>")))).alias("_code")
+    )
+    new = absent.join(numbered, "_code").select(left, right)
+    return rows.unionByName(new, allowMissingColumns=True).na.fill(0, list(fill))
 
 
 def completed_hours(
@@ -145,14 +166,5 @@ def rank_abundance(counts: DataFrame) -> DataFrame:
 
 
 def rows_in_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the number of rows that share the key; NULL keys equal each other.
-
-    Counts are aggregated before the shuffle and joined back, so a hot key is
-    never gathered in one task as a window would do.
-    """
-    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
-    counts = df.groupBy(*named).agg(F.count("*").alias("n_occurrences"))
-    match = F.lit(True)
-    for i, k in enumerate(keys):
-        match = match & df[k].eqNullSafe(counts[f"_key{i}"])
-    return df.join(counts, match, "left").select(df["*"], "n_occurrences")
+    """Attach the number of rows that share the key; NULL keys equal each other."""
+    return count_in_group(df, keys, "n_occurrences")
