@@ -30,19 +30,23 @@ GROUP_ROWS = 1 << 14
 #: Fingerprints, and pairs of nodes, that a task holds at a time.
 STREAM_ROWS, FRONTIER = 1 << 16, 1 << 17
 
-#: Similar texts: five-word shingles, Jaccard similarity of 0.8 or more.  Two sets with
-#: that similarity have a cosine of 0.89 (8 / 9), so a bit of their fingerprints differs
-#: with probability acos(8 / 9) / pi = 0.1515: 77.6 of 512 bits, with deviation 8.1.
-#: The bound is 1.5 deviations above, so that similar texts are rarely missed; it is the
-#: mean at a similarity of 0.76.
+#: Similar texts: five-word shingles, Jaccard similarity of 0.8 or more.
+SIMILARITY = 0.8
+#: Two sets with that similarity have a cosine of 0.89 (8 / 9), so a bit of their fingerprints differs
+#: with probability acos(8 / 9) / pi = 0.1515: 77.6 of 512 bits, with deviation 8.1; sets of four and five
+#: shingles differ in 96 bits.  Up to the bound, which such pairs hardly ever reach, the sets themselves decide.
 WIDE_WORDS = 8
-WIDE_DISTANCE = 90
+WIDE_DISTANCE = 135
 #: A band is three anchors.  One of ten bands is shared with probability
 #: 1 - (1 - 0.8 ** 3) ** 10 = 0.9992 at similarity 0.8, and hardly ever by texts that only
 #: have a frequent passage in common: at similarity 0.15 with probability 0.03.
 BANDS, BAND_ANCHORS = 10, 3
-#: Of the first 64 bits, 9.7 differ on average at that similarity, with deviation 2.9.
-NARROW_DISTANCE = 22
+#: Of the first 64 bits, 9.7 differ on average at that similarity, with deviation 2.9; 12 of short texts.
+NARROW_DISTANCE = 26
+#: Shingles of a chunk when sets are compared; a tile holds two chunks.
+CHUNK_SHINGLES = 1 << 22
+#: Pairs that are compared before what they link is looked at.
+PAIRS_AT_ONCE = 512
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _POP = np.array([bin(i).count("1") for i in range(256)], np.int64)
@@ -158,7 +162,7 @@ class GrayIndex:
         if not len(a):
             return
         if level == 8:
-            return self._join(self.firsts[8][a], self.firsts[8][b])
+            return self._leaves(a, b)
         child = self.children[level]
         wide, high = child[a + 1] - child[a], child[b + 1] - child[b]
         size = wide * high
@@ -174,14 +178,41 @@ class GrayIndex:
         near = (more <= self.distance) & (one <= two)
         return self._descend(level + 1, one[near], two[near], more[near])
 
+    def _leaves(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Compares all rows of leaf pairs; a leaf holds the rows of one code."""
+        first = np.append(self.firsts[8], self.n)
+        wide, high = first[a + 1] - first[a], first[b + 1] - first[b]
+        if self.same is None:
+            # Rows of one code are as near as can be: each follows the leaf's first row.
+            rows = np.concatenate([np.arange(first[x], first[x + 1]) for x in np.unique(a[a == b])] or [np.zeros(0, np.int64)])
+            leaf = np.searchsorted(first, rows, side="right") - 1
+            return self._join(np.append(first[a], first[leaf]), np.append(first[b], rows))
+        rows = np.repeat(first[a], wide) + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+        low, size = np.repeat(first[b], wide), np.repeat(high, wide)
+        # One row against the rows of the other leaf, so many at a time.
+        at = 0
+        while at < len(rows):
+            end = max(at + 1, at + int(np.searchsorted(np.cumsum(size[at : at + FRONTIER]), FRONTIER)))
+            part = size[at:end]
+            place = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
+            one, two = np.repeat(rows[at:end], part), np.repeat(low[at:end], part) + place
+            later = (one < two) | (np.repeat(low[at:end], part) > one)
+            self._join(one[later], two[later])
+            at = end
+
     def _join(self, a: np.ndarray, b: np.ndarray) -> None:
-        apart = a != b
-        a, b = a[apart], b[apart]
-        if self.same is not None and len(a):
-            fits = self.same(a, b)
-            a, b = a[fits], b[fits]
-        if len(a):
-            self.label = roots(self.n, a, b, self.label)
+        before = self.label
+        step = len(a) if self.same is None else PAIRS_AT_ONCE
+        for at in range(0, len(a), max(step, 1)):
+            one, two = a[at : at + step], b[at : at + step]
+            apart = self.label[one] != self.label[two]
+            one, two = one[apart], two[apart]
+            if self.same is not None and len(one):
+                fits = self.same(one, two)
+                one, two = one[fits], two[fits]
+            if len(one):
+                self.label = roots(self.n, one, two, self.label)
+        if self.label is not before:
             self._label_nodes()
 
 
@@ -210,19 +241,30 @@ def _sort_code(code: Column) -> Column:
     return code.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def search_groups(rows: DataFrame, distance: int, same_bits: int | None = None) -> DataFrame:
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets given as sorted arrays; two empty ones are equal."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def search_groups(rows: DataFrame, distance: int, same_bits: int | None = None, least: float | None = None) -> DataFrame:
     """Links (node, root) among rows of equal key: node id, and the smallest of its local group.
 
     ``rows``: key long, node long, code long, and ``rest`` array<long> when ``same_bits``
-    is given; then codes and rests together may differ in at most ``same_bits`` bits.
-    A key with more than ``GROUP_ROWS`` rows is cut into chunks, and each two chunks
+    is given; then codes and rests together may differ in at most ``same_bits`` bits.  With ``least``
+    rows have ``shingles`` too, a sorted array<long>, and sets must be as similar as that.
+    A key with more than ``GROUP_ROWS`` rows, or ``CHUNK_SHINGLES`` shingles, is cut into chunks, and each two chunks
     meet in a tile, a key of its own.
     """
     rows = written(rows, "keys")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_ROWS)
-    large = written(sizes, "large")
+    load = F.lit(0) if least is None else F.sum(F.size("shingles"))
+    sizes = rows.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(load / CHUNK_SHINGLES)).alias("n"))
+    large = written(sizes.where(F.col("n") > 1), "large")
+    stream_rows = STREAM_ROWS if least is None else STREAM_ROWS >> 6
     if not large.isEmpty():
-        chunks = F.ceil(F.col("n") / GROUP_ROWS).cast("int")
+        chunks = F.col("n").cast("int")
         # Chunk numbers come from the node, so that a row is in the same chunk in any attempt.
         mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
         other = F.explode(F.sequence(F.lit(0), chunks - 1))
@@ -234,7 +276,7 @@ def search_groups(rows: DataFrame, distance: int, same_bits: int | None = None)
         rows = rows.join(large, "key", "left_anti").unionByName(tiled.select(rows.columns))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for groups in _grouped(batches, STREAM_ROWS):
+        for groups in _grouped(batches, stream_rows):
             key = groups.column("key").to_numpy()
             again = np.append(False, key[1:] == key[:-1])
             several = np.flatnonzero(again | np.append(again[1:], False))
@@ -250,9 +292,24 @@ def search_groups(rows: DataFrame, distance: int, same_bits: int | None = None)
                 width = len(rest.values) // len(rest)
                 wide = np.column_stack([code, rest.flatten().to_numpy().view(np.uint64).reshape(-1, width)])
 
-                def same(a, b, wide=wide):
+                def near(a, b, wide=wide):
                     return np.bitwise_count(wide[a] ^ wide[b]).sum(axis=1, dtype=np.int64) <= same_bits
 
+                same = near
+            if least is not None:
+                lists = groups.column("shingles").combine_chunks()
+                values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+                size = np.diff(offsets)
+
+                def same(a, b, near=near, values=values, offsets=offsets, size=size):
+                    # Sets of too different sizes can't be similar.
+                    fits = near(a, b) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]))
+                    for k in np.flatnonzero(fits):
+                        x, y = a[k], b[k]
+                        one, two = values[offsets[x] : offsets[x + 1]], values[offsets[y] : offsets[y + 1]]
+                        fits[k] = similarity(one, two) >= least
+                    return fits
+
             root = GrayIndex(key, code).link(distance, same)
             linked = np.flatnonzero(root != np.arange(len(root)))
             if len(linked):
@@ -381,23 +438,48 @@ def _wide(text: Column) -> Column:
     return of(text)
 
 
+def _shingle_set(text: Column) -> Column:
+    """The distinct shingles of a text as sorted numbers."""
+
+    @F.arrow_udf("array<bigint>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sets = [np.unique(shingle_values(t or "", SHINGLE_WORDS).view(np.int64)) for t in batch.to_pylist()]
+            yield pa.array(sets, pa.list_(pa.int64()))
+
+    return of(text)
+
+
 def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key and ``component_id`` at similarity 0.8 of five-word shingles.
 
     Three bits of 64 only reach nearly equal texts, and keys from parts of a fingerprint
     can't find 15 of 100 differing bits.  So fingerprints have 512 bits, bands of anchors
-    (shingles that are smallest under a mixing) bring candidates together, the Gray-order
-    index searches each band's group by the first 64 bits, and all bits decide.  Texts
-    without words are similar to one another.
+    (shingles that are smallest under a mixing) bring candidates together, and the Gray-order
+    index searches each band's group by the first 64 bits and then all.  That gives groups of candidates.
+    Within these the index is searched again, and now the sets of shingles decide: every link has a similarity
+    of 0.8 or more, and every pair of a group that the bits allow is compared or already connected.
+
+    Texts with the same 512 bits count as equal.  Null, blank and empty texts are similar to one another.
+    A null key stays and is never a component's id unless all keys there are null; repeated rows stay.
     """
-    wide = docs.select(F.col(key).alias("id"), _wide(F.col(text).cast("string")).alias("w"))
-    wide = wide.select("id", "w.*")
+    docs = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    wide = docs.select("id", F.xxhash64("text").alias("text_hash"), _wide(F.col("text")).alias("w"))
+    wide = wide.select("id", "text_hash", "w.*")
     rows = written(wide.withColumn("node", F.xxhash64("code", "rest")), "wide")
     nodes = rows.groupBy("node").agg(
-        F.min("id").alias("first_id"), *[F.first(c).alias(c) for c in ("code", "rest", "bands")]
+        F.min("id").alias("first_id"), F.min("text_hash").alias("text_hash"), *[F.first(c).alias(c) for c in ("code", "rest", "bands")]
     )
+    nodes = written(nodes, "nodes")
     keys = nodes.select(F.explode("bands").alias("key"), "node", "code", "rest")
-    links = search_groups(keys, NARROW_DISTANCE, WIDE_DISTANCE)
+    candidates = components(search_groups(keys, NARROW_DISTANCE, WIDE_DISTANCE))
+    some = written(
+        nodes.join(candidates, "node").select("node", "code", "rest", "text_hash", F.col("label").alias("key")), "candidates"
+    )
+    # One text for each node that has a candidate.
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(some.select("text_hash").distinct(), "text_hash", "left_semi")
+    sets = texts.dropDuplicates(["text_hash"]).select("text_hash", _shingle_set(F.col("text")).alias("shingles"))
+    links = search_groups(some.join(sets, "text_hash").drop("text_hash"), NARROW_DISTANCE, WIDE_DISTANCE, SIMILARITY)
     return _with_components(rows.select("id", "node"), nodes.select("node", "first_id"), links, "node", "id").select(
         F.col("id").alias(key), "component_id"
     )
