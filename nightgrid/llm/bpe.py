@@ -28,13 +28,14 @@ from nightgrid.llm.words import blocks, mix
 
 TOKENIZER = "byte_bpe_50k.json"
 #: A chunk ends where the rolling hash of ``ROLL_BYTES`` bytes has this many zero bits.
-ROLL_BYTES, CHUNK_BITS, LEAST_CHUNK = 16, 9, 64
+#: Joints cost a window each, so chunks are much longer than windows; most texts are one chunk.
+ROLL_BYTES, CHUNK_BITS, LEAST_CHUNK = 16, 13, 2048
 #: A boundary is settled when this many characters of text are known after it: more than
 #: the longest special token and the longest look ahead of the pattern.
 SETTLED_CHARS = 32
 FIRST_WINDOW = 64
-#: Bounds of a worker's memory: words, and tokens of chunks.
-CACHE_WORDS, CACHE_WORD_CHARS, CACHE_TOKENS = 150_000, 64, 500_000
+#: Bounds of a worker's memory: words, tokens of chunks, and hashes of chunks met once.
+CACHE_WORDS, CACHE_WORD_CHARS, CACHE_TOKENS, CACHE_SEEN = 150_000, 64, 500_000, 1 << 18
 #: Bytes of texts that are cut into chunks together.
 BLOCK_BYTES = 1 << 20
 
@@ -93,7 +94,10 @@ class Coder:
         self.bytes_of = self._byte_table()
         self.words = Words(self.tokenizer)
         self.chunks: dict[str, Chunk] = {}
+        self.seen: set[int] = set()
         self.held = 0
+        #: Characters encoded as chunks, and taken from chunks encoded before.
+        self.encoded = self.reused = 0
 
     def _byte_table(self) -> list[bytes]:
         """The bytes of each id; the vocabulary writes bytes as printable characters."""
@@ -112,34 +116,55 @@ class Coder:
             return _LATIN(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def plain(self, text: str) -> Chunk:
-        """Encode a text by its words, without regard to what stands around it."""
+    def _split(self, text: str) -> list[str]:
+        """The words of a text.  A special token is a word by itself, and the library encodes it as such."""
+        parts = self.split(text)
+        if len(parts) == 1:
+            return self._words_of(text)
         words = []
-        for k, part in enumerate(self.split(text)):
+        for k, part in enumerate(parts):
             if k % 2:
                 words.append(part)
             elif part:
                 words += self._words_of(part)
-        # A special token is a word by itself, and the library encodes it as such.
+        return words
+
+    def plain(self, text: str, ends: bool = True) -> Chunk:
+        """Encode a text by its words, without regard to what stands around it; ``ends`` may be left out."""
+        words = self._split(text)
         ids = list(map(self.words.__getitem__, words))
+        if not ends:
+            return Chunk(b"".join(ids), array("q"), array("q"))
         return Chunk(b"".join(ids), array("q", accumulate(map(len, words))), array("q", accumulate(map(len, ids))))
 
-    def chunk(self, text: str) -> Chunk:
-        """``plain``, once for each chunk that the worker remembers."""
+    def chunk(self, text: str, whole: bool = False) -> Chunk:
+        """``plain``, once for each chunk that the worker remembers: those that it met before.
+
+        A ``whole`` text has no joints and needs no ends of words.
+        """
         found = self.chunks.get(text)
-        if found is None:
-            found = self.plain(text)
-            if self.held + len(found.ids) // 4 > CACHE_TOKENS:
-                self.chunks.clear()
-                self.held = 0
-            self.chunks[text] = found
-            self.held += len(found.ids) // 4 + 64
+        if found is not None and (whole or found.ends):
+            self.reused += len(text)
+            return found
+        found = self.plain(text, not whole)
+        self.encoded += len(text)
+        known = hash(text)
+        if known not in self.seen:
+            if len(self.seen) >= CACHE_SEEN:
+                self.seen.clear()
+            self.seen.add(known)
+            return found
+        if self.held + len(found.ids) // 4 > CACHE_TOKENS:
+            self.chunks.clear()
+            self.held = 0
+        self.chunks[text] = found
+        self.held += len(found.ids) // 4 + 64
         return found
 
     def encode(self, chunks: list[str]) -> bytes:
         """The ids of the text that the chunks make up, the joints repaired."""
         if len(chunks) < 2:
-            return self.chunk(chunks[0]).ids if chunks else b""
+            return self.chunk(chunks[0], whole=True).ids if chunks else b""
         text = "".join(chunks)
         edges = np.cumsum([0, *map(len, chunks)]).tolist()
         coded = [self.chunk(c) for c in chunks]

@@ -73,3 +73,25 @@ def test_texts_come_back(spark, odd_dir):
     found = bpe.encode_documents(docs)
     assert found.where(F.coalesce("text", F.lit("")) != F.col("decoded")).count() == 0
     assert found.where(F.size("token_ids") != F.col("n_tokens")).count() == 0
+
+
+def test_short_chunks_and_chunks_met_again(monkeypatch, texts, odd_dir, sf_dir):
+    """With chunks of some sixty bytes nearly every text has joints; repeated chunks come from the worker's memory."""
+    import pyarrow as pa
+
+    from nightgrid.llm import bpe
+    from nightgrid.llm.common import tokenizer_path
+    from nightgrid.llm.words import blocks
+
+    monkeypatch.setattr(bpe, "CHUNK_BITS", 5)
+    monkeypatch.setattr(bpe, "LEAST_CHUNK", 16)
+    monkeypatch.setattr(bpe, "CACHE_TOKENS", 20_000)
+    coder = bpe.Coder(tokenizer_path(bpe.TOKENIZER))
+    whole = [t or "" for path in (odd_dir, sf_dir) for _, t in texts(path)]
+    whole = [t[:20_000] for t in whole] * 2
+    found = []
+    for _, _, data, offsets in blocks(pa.array(whole), bpe.BLOCK_BYTES):
+        found += [coder.encode(chunks) for chunks in bpe.chunks_of(data, offsets)]
+    expected = coder.tokenizer.encode_batch(whole, add_special_tokens=False)
+    assert [list(memoryview(f).cast("I")) for f in found] == [e.ids for e in expected]
+    assert coder.reused > 0.3 * coder.encoded
