@@ -35,7 +35,7 @@ ROLL_BYTES, CHUNK_BITS, LEAST_CHUNK = 16, 13, 2048
 SETTLED_CHARS = 32
 FIRST_WINDOW = 64
 #: Bounds of a worker's memory: words, tokens of chunks, and hashes of chunks met once.
-CACHE_WORDS, CACHE_WORD_CHARS, CACHE_TOKENS, CACHE_SEEN = 150_000, 64, 500_000, 1 << 18
+CACHE_WORDS, CACHE_WORD_CHARS, CACHE_TOKENS, CACHE_SEEN = 100_000, 64, 300_000, 1 << 16
 #: Bytes of texts that are cut into chunks together.
 BLOCK_BYTES = 1 << 20
 
