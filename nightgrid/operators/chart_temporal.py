@@ -71,10 +71,10 @@ def calls_per_hour_histogram(grid: DataFrame, binwidth: float | None = None, emp
         F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf"))
     )
     values = materialize(rates.groupBy("x").agg(F.count("*").alias("n")), "rates")
-    facts = values.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"))).scalar()
+    facts = values.agg(F.min("x").alias("low"), F.max("x").alias("high"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean")).first()
     if binwidth is None:
-        spread = (facts["high"] - facts["low"]) / (DEFAULT_BINS - 1)
-        low, width = facts["low"], F.when(spread > 0, spread).otherwise(F.lit(0.1))
+        spread = (facts.high - facts.low) / (DEFAULT_BINS - 1) if facts.low is not None else 0.0
+        low, width = F.lit(facts.low).cast("double"), F.lit(spread if spread > 0 else 0.1)
     else:
         low, width = F.lit(0.0), F.lit(float(binwidth))
     step = F.ceil((F.col("x") - low) / width - 0.5)
@@ -86,9 +86,10 @@ def calls_per_hour_histogram(grid: DataFrame, binwidth: float | None = None, emp
         end = F.when(too_many, F.raise_error(F.lit("too many empty bins; give a larger width"))).otherwise(F.col("next") - 1)
         unfolded = gaps.select(F.col("bin").alias("own"), "n", F.explode(F.sequence("bin", end)).alias("bin"))
         bins = unfolded.select("bin", F.when(F.col("bin") == F.col("own"), F.col("n")).otherwise(0).alias("n"))
-    median = exact_percentiles(values, {"x": [0.5]}, weight="n").scalar()
+    median = exact_percentiles(values, {"x": [0.5]}, weight="n").first()[0]
     return bins.select(
-        (low + F.col("bin") * width).alias("bin_center"), "n", facts["mean"].alias("mean_cph"), median.alias("median_cph")
+        (low + F.col("bin") * width).alias("bin_center"), "n",
+        F.lit(facts["mean"]).cast("double").alias("mean_cph"), F.lit(median).cast("double").alias("median_cph"),
     )
 
 

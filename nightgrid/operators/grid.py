@@ -23,9 +23,13 @@ def calls_per_night(master: DataFrame) -> DataFrame:
     return master.groupBy(*KEYS).agg(n_calls(master).alias("CallsPerNight"))
 
 
-def night_span(df: DataFrame) -> tuple[Column, Column]:
-    """First and last night, both from one scalar subquery."""
-    span = df.agg(F.struct(F.min("Night").alias("first"), F.max("Night").alias("last"))).scalar()
+def night_span(df: DataFrame, most: int | None = None) -> tuple[Column, Column]:
+    """First and last night, both from one scalar subquery; an error where they lie more than ``most`` nights apart."""
+    first, last = F.min("Night"), F.max("Night")
+    if most is not None:
+        text = F.concat(F.lit("nights from "), first.cast("string"), F.lit(" to "), last.cast("string"), F.lit(": give the study dates"))
+        last = F.when(F.datediff(last, first) > most, F.raise_error(text).cast("date")).otherwise(last)
+    span = df.agg(F.struct(first.alias("first"), last.alias("last"))).scalar()
     return span["first"], span["last"]
 
 
@@ -39,15 +43,11 @@ def _bounds(
     """
     first = last = None
     if start_date is None or end_date is None:
-        first, last = night_span(df)
+        first, last = night_span(df, K.MAX_STUDY_NIGHTS)
     if start_date is not None:
         first = F.lit(start_date).cast("date")
     if end_date is not None:
         last = F.lit(end_date).cast("date")
-    if start_date is None or end_date is None:
-        text = F.concat(F.lit("nights from "), first.cast("string"), F.lit(" to "), last.cast("string"), F.lit(": give the study dates"))
-        wrong = F.datediff(last, first) > K.MAX_STUDY_NIGHTS
-        last = F.when(wrong, F.raise_error(text).cast("date")).otherwise(last)
     return first, last
 
 

@@ -10,6 +10,7 @@ from nightgrid import constants as K
 from nightgrid.functions.numbers import fixed, percent, round_columns, round_nearest
 from nightgrid.operators.heavy import count_in_group
 from nightgrid.operators.running import running_folds
+from nightgrid.sources.scratch import materialize
 
 #: Labels whose presence a left label keeps in one row.
 LABEL_BLOCK = 4096
@@ -99,9 +100,11 @@ def completed(
     rows = counts.where(F.col(right).isNotNull())
     distinct = rows.select(right).distinct().withColumn("_all", F.lit(1))
     numbered = running_folds(distinct, ["_all"], [right], {"_code": (F.lit(1), "sum")}, "labels").drop("_all")
+    numbered = materialize(numbered, "label-numbers")
     n = numbered.count()
     block = F.floor(F.col("_code") / LABEL_BLOCK)
-    present = rows.join(numbered, right).groupBy(left, block.alias("_block")).agg(F.collect_set("_code").alias("_present"))
+    rows = materialize(rows.join(numbered, right).select(*counts.columns, "_code"), "label-counts")
+    present = rows.groupBy(left, block.alias("_block")).agg(F.collect_set("_code").alias("_present"))
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n // LABEL_BLOCK).cast("long"))).alias("_block")
     spine = rows.select(left).distinct().select(left, blocks)
     same = spine[left].eqNullSafe(present[left]) & (spine["_block"] == present["_block"])
@@ -112,7 +115,7 @@ def completed(
         left, F.explode(F.array_except(every, F.coalesce("_present", F.array().cast("array<bigint>")))).alias("_code")
     )
     new = absent.join(numbered, "_code").select(left, right)
-    return rows.unionByName(new, allowMissingColumns=True).na.fill(0, list(fill))
+    return rows.drop("_code").unionByName(new, allowMissingColumns=True).na.fill(0, list(fill))
 
 
 def completed_hours(

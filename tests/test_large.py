@@ -97,7 +97,7 @@ def test_one_wrong_date_changes_no_size(spark):
         dates = {"start_date": "2025-10-01", "end_date": "2025-10-07"}
         assert build(dirty, **dates).exceptAll(build(grid_rows(spark, *good), **dates)).count() == 0
         assert build(dirty, **dates).count() == 14
-        with pytest.raises(PySparkException, match="study dates"):
+        with pytest.raises(Exception, match="study dates"):
             build(dirty).count()
     outside = grid.nights_outside(dirty, "2025-10-01", "2025-10-07").collect()
     assert sorted((r.Detector, str(r.first), r.n_nights, r.side) for r in outside) == [("a", "0001-01-01", 1, "before"), ("a", "9999-12-31", 1, "after")]
