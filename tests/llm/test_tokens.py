@@ -62,7 +62,7 @@ def test_joints_of_any_chunks(size):
 
 def test_shared_passages_give_shared_chunks():
     rng = random.Random(3)
-    passage = "".join(rng.choices("abcdefgh ", k=6000))
+    passage = "".join(rng.choices("abcdefgh ", k=100_000))
     one, two = (np.frombuffer((head + passage).encode(), np.uint8) for head in ("xy", "something else "))
     chunks = [set(next(bpe.chunks_of(d, np.array([0, len(d)])))) for d in (one, two)]
     assert len(chunks[0] & chunks[1]) >= 3
@@ -85,13 +85,12 @@ def test_short_chunks_and_chunks_met_again(monkeypatch, texts, odd_dir, sf_dir):
 
     monkeypatch.setattr(bpe, "CHUNK_BITS", 5)
     monkeypatch.setattr(bpe, "LEAST_CHUNK", 16)
-    monkeypatch.setattr(bpe, "CACHE_TOKENS", 20_000)
     coder = bpe.Coder(tokenizer_path(bpe.TOKENIZER))
     whole = [t or "" for path in (odd_dir, sf_dir) for _, t in texts(path)]
-    whole = [t[:20_000] for t in whole] * 2
+    whole = [t[:3_000] for t in whole[:120]] * 4
     found = []
     for _, _, data, offsets in blocks(pa.array(whole), bpe.BLOCK_BYTES):
         found += [coder.encode(chunks) for chunks in bpe.chunks_of(data, offsets)]
     expected = coder.tokenizer.encode_batch(whole, add_special_tokens=False)
     assert [list(memoryview(f).cast("I")) for f in found] == [e.ids for e in expected]
-    assert coder.reused > 0.3 * coder.encoded
+    assert coder.reused > 0.5 * coder.encoded
