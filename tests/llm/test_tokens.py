@@ -85,6 +85,7 @@ def test_short_chunks_and_chunks_met_again(monkeypatch, texts, odd_dir, sf_dir):
 
     monkeypatch.setattr(bpe, "CHUNK_BITS", 5)
     monkeypatch.setattr(bpe, "LEAST_CHUNK", 16)
+    monkeypatch.setattr(bpe, "CACHE_TOKENS", 10_000_000)
     coder = bpe.Coder(tokenizer_path(bpe.TOKENIZER))
     whole = [t or "" for path in (odd_dir, sf_dir) for _, t in texts(path)]
     whole = [t[:3_000] for t in whole[:120]] * 4
