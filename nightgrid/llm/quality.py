@@ -23,19 +23,37 @@ SYMBOL_PERCENT = 10
 CAPITAL_PERCENT, CAPITAL_CHARS = 50, 20
 #: ... or navigation, with so many separators or, without a sentence end, so few words.
 NAVIGATION_SEPARATORS, NAVIGATION_WORDS = 3, 3
+#: ... in at most so many characters, since scripts without blanks have few words.
+NAVIGATION_CHARS = 40
 
 #: Patterns that Java's and RE2's engines read alike.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
-SENTENCE_END = r"[.!?:;,\x22')\]][\x20\x09-\x0D]*$"
+SENTENCE_END = r"[.!?:;,\x22')\]。！？…][\x20\x09-\x0D]*$"
 SEPARATOR = r"(^|[\x20\x09-\x0D])(\||>|>>|/|-|\*|::)([\x20\x09-\x0D]|$)"
-BOILERPLATE = (
-    r"(?i)(all rights reserved|copyright|cookie|privacy policy|terms of (use|service)|enable javascript|lorem ipsum"
-    r"|licensed under|license, version|click here|read more|sign (in|up)|log ?in|subscribe|newsletter|share (on|this)"
-    r"|alle rechte vorbehalten|datenschutz|impressum|hier klicken|weiterlesen|anmelden"
-    r"|tous droits|politique de confidentialit|mentions l.?gales|cliquez ici|lire la suite"
-    r"|todos los derechos|pol.?tica de privacidad|aviso legal|haga clic|leer m.?s)"
+#: Phrases that are boilerplate wherever they stand as whole words.
+STRONG = (
+    r"(?:all rights reserved|privacy policy|terms of (?:use|service)|enable javascript|lorem ipsum|licensed under"
+    r"|license, version|we use cookies|accept (?:all )?cookies|cookie (?:policy|settings|notice)|copyright \(c\) [0-9]{4}|copyright [0-9]{4}"
+    r"|alle rechte vorbehalten|tous droits|politique de confidentialit|mentions l.?gales|todos los derechos|pol.?tica de privacidad|aviso legal)"
 )
+#: Signs that also stand in plain sentences: one fails a line of few words, two any line.
+WEAK = (
+    r"(?:copyright|cookies?|click here|read more|sign (?:in|up)|log ?in|subscribe|newsletter|share (?:on|this)"
+    r"|datenschutz|impressum|hier klicken|weiterlesen|anmelden|cliquez ici|lire la suite|haga clic|leer m.?s)"
+)
+WEAK_WORDS = 5
+
+
+def _boilerplate(before: str, after: str) -> tuple[str, str, str]:
+    """Patterns of a strong phrase, a weak sign and two weak signs, given an engine's word bounds."""
+    strong, weak = (before + words + after for words in (STRONG, WEAK))
+    return "(?i)" + strong, "(?i)" + weak, f"(?is){weak}.*{weak}"
+
+
+#: No letter, digit or underscore of ASCII may touch a phrase; RE2 has no lookaround, its \b means the same.
+JAVA_SIGNS = _boilerplate("(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])")
+RE2_SIGNS = _boilerplate(r"\b", r"\b")
 _CAPITALS = "[A-Z]"
 _SPACES = " \t\n\x0b\f\r"
 
@@ -55,8 +73,11 @@ def line_passes(line: Column) -> Column:
     separators = F.size(F.split(line, SEPARATOR)) - 1
     noisy = 100 * _count_of(line, SYMBOLS) > SYMBOL_PERCENT * size
     shouting = (size >= CAPITAL_CHARS) & (100 * _count_of(line, _CAPITALS) > CAPITAL_PERCENT * size)
-    navigation = (separators >= NAVIGATION_SEPARATORS) | (~ends & (n_words <= NAVIGATION_WORDS))
-    return ~noisy & ~shouting & ~navigation & ~line.rlike(BOILERPLATE)
+    navigation = (separators >= NAVIGATION_SEPARATORS) | (~ends & (size <= NAVIGATION_CHARS) & (n_words <= NAVIGATION_WORDS))
+    strong, weak, two = JAVA_SIGNS
+    # Most lines have no weak sign, so how many words or signs there are is rarely looked at.
+    boilerplate = line.rlike(strong) | (line.rlike(weak) & ((n_words <= WEAK_WORDS) | line.rlike(two)))
+    return ~noisy & ~shouting & ~navigation & ~boilerplate
 
 
 def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -157,9 +178,11 @@ tested AS (
     100 * {_count_sql("l", SYMBOLS)} <= {SYMBOL_PERCENT} * length(l)
     AND NOT (length(l) >= {CAPITAL_CHARS} AND 100 * {_count_sql("l", _CAPITALS)} > {CAPITAL_PERCENT} * length(l))
     AND NOT (len(string_split_regex(l, {_sql(SEPARATOR)})) - 1 >= {NAVIGATION_SEPARATORS}
-             OR (NOT regexp_matches(l, {_sql(SENTENCE_END)})
+             OR (NOT regexp_matches(l, {_sql(SENTENCE_END)}) AND length(l) <= {NAVIGATION_CHARS}
                  AND len(string_split_regex(trim(l, {_SPACES_SQL}), {_sql(SPACE + "+")})) <= {NAVIGATION_WORDS}))
-    AND NOT regexp_matches(l, {_sql(BOILERPLATE)}) AS passes
+    AND NOT (regexp_matches(l, {_sql(RE2_SIGNS[0])}) OR (regexp_matches(l, {_sql(RE2_SIGNS[1])})
+             AND (len(string_split_regex(trim(l, {_SPACES_SQL}), {_sql(SPACE + "+")})) <= {WEAK_WORDS}
+                  OR regexp_matches(l, {_sql(RE2_SIGNS[2])})))) AS passes
   FROM single),
 kept AS (SELECT doc_id, sum(size) AS line_chars, coalesce(sum(size) FILTER (WHERE passes), 0) AS kept_chars
          FROM tested GROUP BY doc_id),

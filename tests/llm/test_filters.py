@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +49,28 @@ def test_lines_are_cleaned_first(spark):
     assert found[3].base_failed and not found[3].kept and found[3].n_words == 0
 
 
+def test_plain_sentences_are_no_boilerplate(spark):
+    plain = [
+        "The new design in our office works well and saves time.", "She found the catalog in the library last week.",
+        "We resign in protest against the new rules of the house.", "The blog in question was written by a friend.",
+        "He ate a cookie and went home early that day.", "You must sign in the box below the last line.",
+        "这是一个没有空格的很长的句子它讲述了一个关于山里的老人和他的狗的故事他们每天都去河边散步然后回家吃饭", "短句也有句号。",
+    ]
+    bad = [
+        "Click here", "Sign in", "Please log in or sign up to see the rest of this page.", "© Copyright 2021 by the owners of this fine page.",
+        "By going on you accept our Privacy Policy and all of its parts.", "Lire la suite", "We use cookies to make this page better for you.",
+        "Subscribe to the newsletter for all the news of the week.",
+    ]
+    lines = spark.createDataFrame([(x,) for x in plain + bad], "line string")
+    got = {r.line: r.ok for r in lines.select("line", quality.line_passes(F.col("line")).alias("ok")).collect()}
+    assert [x for x in plain if not got[x]] == [] and [x for x in bad if got[x]] == []
+    # The other engine's word bounds say the same.
+    con = duckdb.connect()
+    for java, re2 in zip(quality.JAVA_SIGNS, quality.RE2_SIGNS, strict=True):
+        want = {r.line: r.x for r in lines.select("line", F.col("line").rlike(java).alias("x")).collect()}
+        assert want == {x: con.execute("SELECT regexp_matches(?, ?)", [x, re2]).fetchone()[0] for x in want}
+
+
 def test_quality_stays_in_the_jvm(spark, sf_dir):
     plan = quality.op4_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
