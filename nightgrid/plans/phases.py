@@ -19,6 +19,7 @@ from nightgrid.functions.times import (
 )
 from nightgrid.operators import audit, clean, edits, grid, mapping, summaries
 from nightgrid.operators.chart_detector import activity_outliers
+from nightgrid.operators.chart_quality import nights_by_detector
 from nightgrid.operators.condense import condense
 from nightgrid.operators.ingest import filter_positive_n
 from nightgrid.operators.schema import enforce_types, final_column_select, unify_schema
@@ -201,6 +202,7 @@ class StudyResult:
     summaries: dict[str, DataFrame]
     suspicious: DataFrame
     outliers: DataFrame
+    detector_nights: DataFrame
     released: list[str]
 
 
@@ -208,7 +210,10 @@ def run_analysis(
     master: DataFrame, original: DataFrame, edited: DataFrame, out: str,
     config: StudyConfig, run_ts: str,
 ) -> StudyResult:
-    diff = edits.template_edit_diff(original, edited)
+    """The final grid, its summaries and release, and the reports on edits, suspicious
+    nights, outliers and detectors with few nights.  All are written, and read back from there.
+    """
+    diff = read_snapshot(edits.template_edit_diff(original, edited), f"{out}/template_diff", run_ts)
     final = grid.finalize_grid(
         edited, config.intended_hours, config.detector_specific_schedules
     )
@@ -218,7 +223,13 @@ def run_analysis(
     tables = summary_tables(cpn, calls)
     write_summary_tables(tables, f"{out}/summaries/run_ts={run_ts}")
     released = write_release(cpn, master, tables, f"{out}/release/run_ts={run_ts}")
-    return StudyResult(
-        cpn, calls, diff, edits.edit_log(diff), tables, grid.suspicious_calls(cpn),
-        activity_outliers(cpn, config.outlier_percentile), released,
-    )
+    reports = {
+        "edit_log": edits.edit_log(diff),
+        "suspicious_nights": grid.suspicious_calls(cpn),
+        "activity_outliers": activity_outliers(cpn, config.outlier_percentile),
+        "detector_nights": nights_by_detector(cpn, config.nights_threshold),
+    }
+    log, suspicious, outliers, detector_nights = run_together([
+        partial(read_snapshot, table, f"{out}/reports/{name}", run_ts) for name, table in reports.items()
+    ])
+    return StudyResult(cpn, calls, diff, log, tables, suspicious, outliers, detector_nights, released)

@@ -73,6 +73,13 @@ def test_three_phases(spark, tmp_path):
                                     "summary/species_summary", "summary/hourly_summary"}
     assert spark.read.parquet(f"{out}/release/run_ts=20251101_120000/master").count() == 7
     assert result.suspicious.count() == 0 and result.outliers.count() == 6
+    few = {r.Detector: (r.n_nights, r.below_threshold) for r in result.detector_nights.collect()}
+    assert few and all(low == (n < config.nights_threshold) for n, low in few.values())
+    reports = {"edit_log": result.edit_log, "suspicious_nights": result.suspicious, "activity_outliers": result.outliers}
+    for name, table in reports.items():
+        kept = spark.read.parquet(f"{out}/reports/{name}/run_ts=20251101_120000")
+        assert kept.columns == table.columns and sorted(map(repr, kept.collect())) == sorted(map(repr, table.collect()))
+    assert spark.read.parquet(f"{out}/template_diff/run_ts=20251101_120000").count() == result.edit_diff.count()
 
 
 def test_schedules_per_detector(spark):
