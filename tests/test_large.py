@@ -1,7 +1,9 @@
 """Skewed and dirty tables: nothing is gathered in one task, nothing unfolds without bound."""
 
 import datetime as dt
+from collections.abc import Iterator
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import Window, functions as F
@@ -147,3 +149,32 @@ def test_shared_and_missing_names(spark):
     found = {r.detector_id: r for r in profile.mapping_quality(ids, names).collect()}
     assert len(found) == 3000 and {k for k, r in found.items() if r.duplicate_name} == {"id1", "id2"}
     assert found["id4"].is_placeholder and not found["id5"].mapped
+
+
+def test_pairs_of_many_detectors_send_each_vector_to_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chart_detector, "DETECTORS_PER_BLOCK", 4)
+    monkeypatch.setattr(chart_detector, "MOST_BLOCKS", 3, raising=False)
+    monkeypatch.setattr(chart_detector, "PAIRS", 16, raising=False)
+    n = 60
+    cells = spark.range(n * 8).select(
+        F.concat(F.lit("d"), F.lpad((F.col("id") % n).cast("string"), 3, "0")).alias("Detector"),
+        F.date_add(F.lit(dt.date(2025, 10, 1)), (F.col("id") / n).cast("int")).alias("Night"),
+        F.pmod(F.xxhash64("id"), F.lit(7)).alias("CallsPerNight"),
+    )
+    pairs = chart_detector.pair_statistics(cells)
+    found = {(r.Detector1, r.Detector2): r.n_nights for r in pairs.collect()}
+    names = [f"d{k:03}" for k in range(n)]
+    assert found == {(a, b): 8 for a in names for b in names if a < b}
+    # 60 vectors go to 4 blocks of 16 at most, not to 15 of 4 each.
+    looked = chart_detector._block_statistics
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_rows = sum(map(len, batches))
+        yield pa.RecordBatch.from_pydict({"Detector1": ["a"], "Detector2": ["b"], "n_nights": [n_rows], "Correlation": [0.0]})
+
+    monkeypatch.setattr(chart_detector, "_block_statistics", counted)
+    assert chart_detector.pair_statistics(cells).agg(F.sum("n_nights")).first()[0] <= n * 4
+    # A task holds the pairs of a few rows, not all of two blocks.
+    columns = {"Detector": [f"x{k}" for k in range(8)], "values": [[float(k), 2.0, 1.0] for k in range(8)], "block": [0] * 8, "low": [0] * 8, "high": [0] * 8}
+    parts = list(looked(iter([pa.RecordBatch.from_pydict(columns)])))
+    assert sum(map(len, parts)) == 28 and max(map(len, parts)) <= 16
