@@ -257,3 +257,59 @@ def test_places_of_a_shingle_are_sent_once_up_to_a_large_number(spark):
     shared = pa.Table.from_batches(dedup._shared(iter(windows))).to_pylist()
     # Beyond 2,048 places, every place went to several tiles before.
     assert shared and {r["n"] for r in shared} == {1}
+
+
+def test_every_two_versions_are_linked():
+    rng = np.random.default_rng(6)
+    base = rng.integers(1, 1 << 32, 91, dtype=np.uint32)
+    near = np.tile(base, (12, 1))
+    for i in range(12):
+        near[i, 20 + 2 * i : 22 + 2 * i] = rng.integers(1, 1 << 32, 2, dtype=np.uint32)
+    for few in (12, 3):
+        links, bits = dedup._spanning(np.zeros(few, np.int64), np.arange(few), near[:few], np.full(few, 45), np.full(few, 45))
+        assert {tuple(x) for x in links.tolist()} == {(i, j) for i in range(few) for j in range(i)}
+        for (i, j), found in zip(links.tolist(), bits.tolist(), strict=True):
+            for s in range(46):
+                assert not found >> s & 1 or similar_sets(near[i, s : s + 46], near[j, s : s + 46])
+
+
+def test_links_of_every_run_against_brute_force():
+    rng = np.random.default_rng(7)
+    rows, docs = [], []
+    base = rng.integers(1, 60, 91, dtype=np.uint32)
+    for i in range(40):
+        row = base.copy()
+        row[rng.integers(0, 91, i % 4)] = rng.integers(1, 60)
+        low, high = rng.integers(0, 30), rng.integers(61, 91)
+        row[:low], row[high:] = rng.integers(100, 1 << 31, low), rng.integers(100, 1 << 31, 91 - high)
+        row[45] = base[45]
+        rows.append(row)
+        docs.append(i // 2)
+    near, docs = np.array(rows, np.uint32), np.array(docs)
+    side = np.full(40, 45)
+    links, bits = dedup._spanning(np.zeros(40, np.int64), docs, near, side, side)
+    some = 0
+    for s in range(46):
+        found = [x for x, b in zip(links.tolist(), bits.tolist(), strict=True) if b >> s & 1]
+        pairs = [
+            (i, j) for i in range(40) for j in range(i) if docs[i] != docs[j] and similar_sets(near[i, s : s + 46], near[j, s : s + 46])
+        ]
+        some += len(pairs)
+        assert {tuple(x) for x in found} <= set(pairs)
+        # Each similar run is covered, and connected at that very run.
+        assert {x for p in found for x in p} == {x for p in pairs for x in p}
+        label = classes(found)
+        assert all(label[i] == label[j] for i, j in pairs)
+    assert some > 1000
+
+
+def test_copies_in_other_surroundings_are_one_class():
+    rng = np.random.default_rng(8)
+    near = rng.integers(1, 1 << 32, (50, 91), dtype=np.uint32)
+    near[:, 20:75] = near[0, 20:75]
+    near[30:, 45 + 3] = near[30, 48]
+    side = np.full(50, 45)
+    links, bits = dedup._spanning(np.zeros(50, np.int64), np.arange(50), near, side, side)
+    # One link for each member of the two classes, and one between them.
+    assert len(links) == 49 and classes(links) == {k: 0 for k in range(50)}
+    assert all(np.bitwise_count(b) >= 10 for b in bits)
