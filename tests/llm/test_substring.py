@@ -313,3 +313,69 @@ def test_copies_in_other_surroundings_are_one_class():
     # One link for each member of the two classes, and one between them.
     assert len(links) == 49 and classes(links) == {k: 0 for k in range(50)}
     assert all(np.bitwise_count(b) >= 10 for b in bits)
+
+
+def test_tiles_cover_and_connect_the_runs_of_one_group(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passage = [word() for _ in range(64)]
+    texts = []
+    for i in range(60):
+        words = list(passage)
+        if i % 3 == 0:
+            words[rng.randrange(64)] = word()
+        # Some documents hold the passage more than once.
+        texts.append([word() for _ in range(9)] + words + [word() for _ in range(9)] + (words + [word()] if i % 10 == 0 else []))
+    docs = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array([" ".join(x) for x in texts])], ["doc", "text"])
+
+    def linked():
+        windows = pa.Table.from_batches(dedup._windows([docs])).sort_by("key").combine_chunks().to_batches()
+        shared: dict[int, list] = {i: [] for i in range(60)}
+        for r in pa.Table.from_batches(dedup._shared(iter(windows))).to_pylist():
+            shared[r["known"]].append({"value": r["value"], "n": r["n"]})
+        kind = pa.list_(pa.struct([("value", pa.int64()), ("n", pa.int64())]))
+        known = pa.RecordBatch.from_arrays([*docs.columns, pa.array(list(shared.values()), kind)], ["doc", "text", "shared"])
+        members = pa.Table.from_batches(dedup._members([known])).sort_by([(c, "ascending") for c in ("key", "doc", "at")])
+        links = [x for b in dedup._links(iter(members.combine_chunks().to_batches())) for x in b.to_pylist()]
+        runs = {
+            (doc, s) for x in links for doc, low, high in
+            ((x["doc"], x["low"], x["high"]), (x["other"], x["low"] - x["shift"], x["high"] - x["shift"])) for s in range(low, high - 49)
+        }
+        for x in links:
+            one, two = (texts[x[c]][low : low + 50] for c, low in (("doc", x["low"]), ("other", x["low"] - x["shift"])))
+            a, b = ({tuple(w[i : i + 5]) for i in range(46)} for w in (one, two))
+            assert x["doc"] != x["other"] and len(a & b) >= 0.8 * len(a | b)
+        return len(links), runs, classes((x["doc"], x["other"]) for x in links)
+
+    whole, runs, label = linked()
+    monkeypatch.setattr(dedup, "GROUP_ROWS", 8)
+    tiled, other_runs, other_label = linked()
+    assert runs == other_runs and label == other_label == {k: 0 for k in range(60)}
+    # What a chunk links by itself is not linked again in each of its tiles.
+    spanning = dedup._spanning
+    monkeypatch.setattr(dedup, "_spanning", lambda *columns: spanning(*columns[:5]))
+    assert whole < tiled < 0.8 * linked()[0]
+
+
+def test_halves_are_linked_to_each_other_only():
+    rng = np.random.default_rng(9)
+    base = rng.integers(1, 1 << 32, 91, dtype=np.uint32)
+    near = np.tile(base, (16, 1))
+    for i in range(16):
+        near[i, 20 + 2 * (i // 2) : 22 + 2 * (i // 2)] = i // 2 + 1
+    side, key, half = np.full(16, 45), np.zeros(16, np.int64), np.arange(16) % 2 + 1
+    docs = np.arange(16) // 4 * 2 + np.arange(16) % 2
+    docs, near, half = (x[np.argsort(docs, kind="stable")] for x in (docs, near, half))
+    parts = [np.flatnonzero(half == h) for h in (1, 2)]
+    links = [dedup._spanning(key, docs, near, side, side, half)]
+    for rows in parts:
+        found, bits = dedup._spanning(key[rows], docs[rows], near[rows], side[rows], side[rows])
+        links.append((rows[found], bits))
+    alone = dedup._spanning(key, docs, near, side, side)
+    for s in range(46):
+        one, two = (
+            [tuple(x) for found, bits in which for x, b in zip(found.tolist(), bits.tolist(), strict=True) if b >> s & 1] for which in (links, [alone])
+        )
+        assert classes(one) == classes(two)
